@@ -67,6 +67,6 @@ def reformat(text: Column, source: str, target: str) -> Column:
 
 
 def naive_seconds(ts: Column) -> Column:
-    """Whole epoch seconds of a TIMESTAMP_NTZ read as UTC, whatever the session zone."""
+    """Whole epoch seconds of a TIMESTAMP_NTZ; the session zone is UTC."""
     origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     return F.timestamp_diff("SECOND", origin, ts)

@@ -52,7 +52,7 @@ def compact_day(
     staged = spark.read.schema(rows.schema).parquet(staging)
     if staged.count() != rows.count():
         raise RuntimeError(f"{table}: day {day} changed while it was being compacted")
-    tables.replace_partitions(staged, table)
+    tables.replace_partition(staged, table, column, day)
     spark.catalog.refreshTable(table)
     return True
 
@@ -65,7 +65,7 @@ def import_day(
     rows = spark.read.option("mergeSchema", "true").parquet(path).drop(column)
     placed = rows.hint("rebalance", by).withColumn(column, F.lit(int(day)))
     if overwrite:
-        tables.replace_partitions(placed, table)
+        tables.replace_partition(placed, table, column, day)
     else:
         placed.select(*spark.table(table).columns).write.mode("append").insertInto(table)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,6 @@ def nonblank(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.filter(F.length(F.trim(F.col(value))) > 0)
 
 
-def _fits(text: Column, kind: T.DataType) -> Column:
-    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
-
-
 def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Add one column per field, and the raw line in ``_corrupt`` when it does not decode.
 
@@ -25,24 +21,32 @@ def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFram
     not fit its field.
     """
     target = T.StructType.fromDDL(schema)
+    names = {f.name for f in target}
     as_text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in target] + [T.StructField(CORRUPT, T.StringType())]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = lines.withColumn("_text", F.from_json(F.col(value), as_text, options))
-    field = {f.name: F.col("_text").getField(f.name) for f in target}
-    is_object = F.ltrim(F.col(value)).startswith("{")
-    misfit = F.lit(False)
-    for f in target:
-        if not isinstance(f.dataType, T.StringType):
-            misfit = misfit | (field[f.name].isNotNull() & _fits(field[f.name], f.dataType).isNull())
-    bad = ~is_object | F.col(f"_text.{CORRUPT}").isNotNull() | misfit
-    kept = [c for c in lines.columns if c not in field]
-    return text.select(
-        *kept,
-        *[_fits(field[f.name], f.dataType).alias(f.name) for f in target],
-        F.when(F.coalesce(bad, F.lit(True)), F.col(value)).alias(CORRUPT),
-    )
+    kept = [c for c in lines.columns if c not in names]
+    line = F.col(value)
+
+    def typed(row):
+        """Casts and the corrupt mark of one parsed line, as one struct."""
+        fields, misfit = [], F.lit(False)
+        for f in target:
+            text = row.getField(f.name)
+            if isinstance(f.dataType, T.StringType):
+                fields.append(text.alias(f.name))
+            else:
+                fitted = text.try_cast(f.dataType)
+                fields.append(fitted.alias(f.name))
+                misfit = misfit | (text.isNotNull() & fitted.isNull())
+        bad = ~F.ltrim(line).startswith("{") | row.getField(CORRUPT).isNotNull() | misfit
+        return F.struct(*fields, F.when(bad, line).alias(CORRUPT))
+
+    # The generator parses and casts a line once. What follows sees plain columns: filters on
+    # them stay above it, where a projection would let each of them parse the line again.
+    parsed = F.array(F.from_json(line, as_text, options))
+    return lines.select(*[F.col(c) for c in kept], F.inline(F.transform(parsed, typed)))
 
 
 def valid(decoded: DataFrame) -> DataFrame:

@@ -70,25 +70,22 @@ VALID_SQL = (
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sightings as format 2 JSON lines in ``value``; those of ``error`` events are cut off."""
-    row = passes(spark, sf_dir)
-    text = F.format_string(
-        '{"id":"%d","plateNumber":"%s","captureTime":%d,"yearId":"%d","nodeId":"%s",'
-        '"locationId":"%s","partType":%d,"speed":%d,"extra":true}',
-        "id", "entity", "capture_time", "year_id", "node_id", "location_id", "part_type", "speed",
+    head = F.concat(
+        F.lit('{"id":"'), "id", F.lit('","plateNumber":"'), "entity", F.lit('","captureTime":'), "capture_time",
+        F.lit(',"yearId":"'), "year_id", F.lit('","nodeId":"'), "node_id", F.lit('","locationId":"'), "location_id",
     )
-    cut = F.left(text, F.length(text) - 10)
-    return row.select(F.when(F.col("category") == "error", cut).otherwise(text).alias("value"))
+    tail = F.concat(F.lit('","partType":'), "part_type", F.lit(',"speed":'), "speed", F.lit(',"extra":true}'))
+    whole = F.when(F.col("category") == "error", "").otherwise(tail)
+    return passes(spark, sf_dir).select(F.concat(head, whole).alias("value"))
 
 
 LINES_SQL = """
-full_lines as (
+lines as (
     select *, '{"id":"' || id || '","plateNumber":"' || entity || '","captureTime":' || capture_time
         || ',"yearId":"' || year_id || '","nodeId":"' || node_id || '","locationId":"' || location_id
-        || '","partType":' || part_type || ',"speed":' || speed || ',"extra":true}' as full_text
-    from ev),
-lines as (
-    select *, case when category = 'error' then left(full_text, length(full_text) - 10)
-        else full_text end as value from full_lines)
+        || case when category = 'error' then ''
+           else '","partType":' || part_type || ',"speed":' || speed || ',"extra":true}' end as value
+    from ev)
 """
 
 

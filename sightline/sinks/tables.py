@@ -64,11 +64,28 @@ def insert(spark: SparkSession, name: str, df: DataFrame, spread_on: list[str])
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
-    """Overwrite exactly the partitions that ``df`` has rows for."""
-    table_columns = df.sparkSession.table(name).columns
-    (
-        df.select(*table_columns).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").insertInto(name)
+    """Overwrite exactly the partitions that ``df`` has rows for.
+
+    The mode is a session setting for catalog tables (a writer option is not looked at), so it
+    is set around the write.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(key, before)
+
+
+def replace_partition(df: DataFrame, name: str, column: str, value: int) -> None:
+    """Overwrite one static partition; the rest of the table is out of reach of the statement."""
+    spark = df.sparkSession
+    columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != column)
+    spark.sql(
+        f"insert overwrite table {name} partition ({column} = {int(value)}) select {columns} from {{rows}}",
+        rows=df,
     )
 
 

@@ -14,14 +14,14 @@ from sightline import schemas
 from sightline.operators.lastseen import SUPPRESSED, step, tracked_key
 
 #: Untracked rows have no state; they are spread over this many groups instead of one.
-SPREAD = 256
+SPREAD = 64
 
 
-def _update(threshold: int, seconds: str, row_id: str, result: str):
+def _update(threshold: int, seconds: str, row_id: str, result: str, columns: list[str]):
     def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if key[0] is None or pd.isna(key[0]):
             for rows in chunks:
-                yield rows.assign(**{result: SUPPRESSED})
+                yield rows.assign(**{result: SUPPRESSED})[columns]
             return
         rows = pd.concat(list(chunks), ignore_index=True)
         distinct = rows[[seconds, row_id]].drop_duplicates().sort_values([seconds, row_id])
@@ -33,7 +33,7 @@ def _update(threshold: int, seconds: str, row_id: str, result: str):
             seen = True
             out.append(delta)
         state.update((int(ct), int(lt)))
-        yield rows.merge(distinct.assign(**{result: out}), on=[seconds, row_id], how="left")
+        yield rows.merge(distinct.assign(**{result: out}), on=[seconds, row_id], how="left")[columns]
     return run
 
 
@@ -56,10 +56,11 @@ def last_seen_stream(
     key = tracked_key(rows, entity, seconds, valid)
     spread = F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(SPREAD))).otherwise(F.lit(0))
     output = T.StructType(list(rows.schema.fields) + [T.StructField(result, T.LongType())])
+    keyed = rows.withColumns({"_entity": key, "_spread": spread.cast("int")})
     return (
-        rows.groupBy(key.alias("_entity"), spread.cast("int").alias("_spread"))
+        keyed.groupBy("_entity", "_spread")
         .applyInPandasWithState(
-            _update(threshold, seconds, row_id, result), output, "ct bigint, lt bigint",
+            _update(threshold, seconds, row_id, result, output.names), output, "ct bigint, lt bigint",
             "append", "NoTimeout",
         )
     )
