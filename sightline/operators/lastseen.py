@@ -164,6 +164,13 @@ def state_table(
     )
 
 
+def merge_state(before: DataFrame, moved: DataFrame) -> DataFrame:
+    """The state after a batch: entities that moved take their new row."""
+    rows = before.withColumn("_age", F.lit(0)).unionByName(moved.withColumn("_age", F.lit(1)))
+    newest = rows.groupBy("entity").agg(F.max(F.struct("_age", "ct", "id", "lt")).alias("s"))
+    return newest.select("entity", "s.id", "s.ct", "s.lt")
+
+
 def state_cells(state: DataFrame) -> DataFrame:
     """State rows as text cells under the reversed entity, versioned by ``ct``."""
     wide = state.select(

@@ -80,14 +80,14 @@ def replace_partitions(df: DataFrame, name: str) -> None:
 
 
 def replace_partition(df: DataFrame, name: str, column: str, value: int) -> None:
-    """Overwrite one static partition; the rest of the table is out of reach of the statement."""
+    """Overwrite one static partition with all its sub-partitions, and nothing else."""
     spark = df.sparkSession
+    keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    spec = ", ".join(f"`{k}` = {int(value)}" if k == column else f"`{k}`" for k in keys)
     columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != column)
-    spark.sql(
-        f"insert overwrite table {name} partition ({column} = {int(value)}) select {columns} from {{rows}}",
-        rows=df,
-    )
+    spark.sql(f"insert overwrite table {name} partition ({spec}) select {columns} from {{rows}}", rows=df)
 
 
 def files_per_partition(table: DataFrame, by: list[str]) -> DataFrame:
-    return table.groupBy(*by).agg(F.count_distinct(F.input_file_name()).alias("n_files"))
+    named = table.select(*by, F.input_file_name().alias("_file"))
+    return named.groupBy(*by).agg(F.count_distinct("_file").alias("n_files"))
