@@ -35,7 +35,8 @@ def drop_day(spark: SparkSession, table: str, day: int, column: str = "dateid")
     """Remove a day. It is emptied first: dropping a partition of an external table keeps its
     files, and they would come back with the next row written to that day."""
     if days_of(spark, table, day, day, column):
-        tables.replace_partition(spark.table(table).limit(0), table, column, day)
+        nothing = spark.createDataFrame([], spark.table(table).schema)
+        tables.replace_partition(nothing, table, column, day)
         spark.sql(f"alter table {table} drop if exists partition ({column}={int(day)})")
 
 
