@@ -26,9 +26,10 @@ def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
-        F.when(last == 0, F.concat(F.lit("E"), F.right(user, F.lit(4))))
-        .when(last == 1, F.concat(F.lit("E无"), F.right(user, F.lit(5))))
-        .otherwise(F.concat(F.lit("E"), user)).alias("entity"),
+        F.concat(
+            F.when(last == 1, "E无").otherwise("E"),
+            F.substring(user, F.when(last == 0, 3).when(last == 1, 2).otherwise(1), F.lit(6)),
+        ).alias("entity"),
         timecodes.naive_seconds(F.col("ts")).alias("capture_time"),
         F.date_format("ts", timecodes.DIGIT_TIME).cast("bigint").alias("digits"),
         F.get_json_object("props", "$.k").cast("int").alias("year_id"),

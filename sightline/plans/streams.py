@@ -56,9 +56,10 @@ def stream_union(spark, sf):
 def last_seen_stream(spark, sf):
     root = session.scratch_path(spark, "last-seen")
     path, schema = _written(spark, sighting_rows(spark, sf), "sightings")
-    source = stream.files(spark, path, schema)
-    run.drain(run.to_files(lastseen.last_seen_stream(source), f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
+    writers = {"deltas": lambda df, b: tables.write_batch(df, b, f"{root}/out")}
+    handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state"), writers)
+    run.drain(run.by_batch(stream.files(spark, path, schema), handle, f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
 
 
 @query("multi_sink_counts", EV + """
@@ -110,8 +111,11 @@ def pipeline_two_stage(spark, sf):
     events = decode.valid(decode.decode_json(decode.nonblank(source), schemas.EVENT_V2))
     slim = events.select("id", "plateNumber", "captureTime", "yearId")
     rich = enrich.lookup(slim, dim, ["yearId"], {"brand": -1}, unique=True)
-    seen = lastseen.last_seen_stream(rich, "plateNumber", "captureTime", "id", result="lastCaptured")
-    run.drain(run.to_files(messages.as_json(seen.withColumnRenamed("brand", "brandId")), f"{root}/feed", f"{root}/c1", fmt="text"))
+    publish = {"feed": lambda df, b: tables.write_batch(messages.as_json(df), b, f"{root}/feed", fmt="text")}
+    seen = lastseen.last_seen_batches(
+        lastseen.StateTable(f"{root}/state"), publish, "plateNumber", "captureTime", "id", result="lastCaptured"
+    )
+    run.drain(run.by_batch(rich.withColumnRenamed("brand", "brandId"), seen, f"{root}/c1"))
 
     def index(batch, batch_id):
         coded = batch.select(
@@ -122,7 +126,7 @@ def pipeline_two_stage(spark, sf):
         docs = to_documents(coded, "A001", name, F.col("A009"), coded.columns)
         tables.write_batch(docs, batch_id, f"{root}/docs", ["index_name"])
 
-    feed = stream.files(spark, f"{root}/feed", "value string", fmt="text", glob="part-*")
+    feed = stream.files(spark, f"{root}/feed", "value string", fmt="text")
     again = decode.valid(decode.decode_json(feed, schemas.EVENT_V2))
     run.drain(run.for_each(again, {"documents": index}, f"{root}/c2"))
     return indexes.read(spark, f"{root}/docs")

@@ -1,4 +1,4 @@
-"""Last-seen over a stream, with the entities' state in Spark's state store."""
+"""Last-seen over a stream: by a state table per batch, or in Spark's state store."""
 
 from __future__ import annotations
 
@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
 
 from sightline import schemas
+from sightline.operators import lastseen
 from sightline.operators.lastseen import SUPPRESSED, step, tracked_key
+from sightline.streaming.run import Writer
 
 #: Untracked rows have no state; they are spread over this many groups instead of one.
 SPREAD = 64
@@ -50,8 +52,8 @@ def last_seen_stream(
 
     Within a batch an entity's rows are taken by (time, id); a row that is older than the state
     gives a negative delta and leaves it alone. An entity's rows of one batch are handled
-    together, so the batch size is what bounds them: keep the source's admission limit, and use
-    the batch form with ``state`` to work off a backlog.
+    together, so the batch size is what bounds them: this form is for small, frequent batches
+    behind an admission limit. ``last_seen_batches`` has no such bound.
     """
     key = tracked_key(rows, entity, seconds, valid)
     spread = F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(SPREAD))).otherwise(F.lit(0))
@@ -66,6 +68,70 @@ def last_seen_stream(
     )
 
 
+class StateTable:
+    """The entities' state as a table of batches in the shared folder.
+
+    Batch ``n`` writes the entities that moved, and every ``full_every``-th batch the whole
+    state, so reading it needs the batches since the last whole one. What batch ``n`` reads and
+    writes follows from ``n`` alone: running it again gives the same.
+    """
+
+    def __init__(self, path: str, full_every: int = 50):
+        self.path, self.full_every = path.rstrip("/"), full_every
+
+    def before(self, like: DataFrame, batch_id: int) -> DataFrame:
+        """The state (entity, id, ct, lt) that batch ``batch_id`` starts from."""
+        schema = T.StructType(list(like.schema.fields))
+        spark = like.sparkSession
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        base = (batch_id - 1) // self.full_every * self.full_every
+        stored = spark.read.schema(schema.add("batch_id", T.LongType())).parquet(self.path)
+        newest = (
+            stored.filter(F.col("batch_id").between(base, batch_id - 1))
+            .groupBy("entity").agg(F.max(F.struct("batch_id", "ct", "id", "lt")).alias("s"))
+        )
+        return newest.select("entity", "s.id", "s.ct", "s.lt")
+
+    def write(self, before: DataFrame, moved: DataFrame, batch_id: int) -> None:
+        rows = lastseen.merge_state(before, moved) if batch_id % self.full_every == 0 else moved
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+
+def last_seen_batches(
+    state: StateTable,
+    writers: dict[str, Writer],
+    entity: str = "entity",
+    seconds: str = "capture_time",
+    row_id: str = "id",
+    threshold: int = schemas.SUPPRESS_SECONDS_V2,
+    result: str = "last_captured",
+) -> Writer:
+    """A ``foreachBatch`` handler: batch deltas against the state table, then the writers.
+
+    The work is that of the batch operator, so neither the batch nor an entity's share of it is
+    bounded. The deltas are persisted: the state and every writer see the same ones.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        like = rows.select(
+            F.col(entity).alias("entity"), F.col(row_id).alias("id"),
+            F.col(seconds).alias("ct"), F.lit(0).cast("bigint").alias("lt"),
+        )
+        before = state.before(like, batch_id)
+        deltas = lastseen.last_seen(
+            rows, entity, seconds, row_id, threshold, state=before, result=result
+        ).persist()
+        try:
+            for write in writers.values():
+                write(deltas, batch_id)
+            state.write(before, lastseen.state_table(deltas, entity, seconds, row_id, result), batch_id)
+        finally:
+            deltas.unpersist()
+            rows.unpersist()
+    return handle
+
+
 def without_replays(rows: DataFrame, event_time: str, row_id: str, horizon: str) -> DataFrame:
     """Drop an event that comes again within ``horizon``; older ids are forgotten."""
     return rows.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([row_id])

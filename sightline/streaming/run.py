@@ -43,8 +43,12 @@ def for_each(
     stream: DataFrame, writers: dict[str, Writer], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Hand every batch to several writers, computing it once."""
+    return by_batch(stream, fan_out(writers), checkpoint, every)
+
+
+def by_batch(stream: DataFrame, handle: Writer, checkpoint: str, every: str | None = None) -> StreamingQuery:
     return _trigger(
-        stream.writeStream.foreachBatch(fan_out(writers)).option("checkpointLocation", checkpoint), every
+        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint), every
     ).start()
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sightline.operators import lastseen
+from sightline.sinks import tables
 from sightline.sources import stream
 from sightline.streaming import lastseen as streaming
 from sightline.streaming import run
@@ -131,3 +132,31 @@ def test_stream_equals_simulation_over_batches_with_late_rows(spark, folder):
     out, n = got(spark.read.parquet(f"{folder}/out"))
     assert n == 360
     assert out == simulate(batches)[0]
+
+
+@pytest.mark.parametrize("full_every", [1, 2, 50])
+def test_state_table_equals_simulation_over_batches_with_late_rows(spark, folder, full_every):
+    batches = [random_rows(s, n=120, start_id=1000 * s) for s in (1, 2, 3, 4)]
+    state = streaming.StateTable(f"{folder}/state", full_every)
+    writers = {"out": lambda df, b: tables.write_batch(df, b, f"{folder}/out")}
+    handle = streaming.last_seen_batches(state, writers, threshold=T)
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{folder}/in/b{i}")
+        source = stream.files(spark, f"{folder}/in/*", SCHEMA, glob="*.parquet")
+        run.drain(run.by_batch(source, handle, f"{folder}/ckpt"))
+    out, n = got(spark.read.parquet(f"{folder}/out"))
+    assert n == 480
+    assert out == simulate(batches)[0]
+
+
+def test_state_table_batch_can_run_again(spark, folder):
+    state = streaming.StateTable(f"{folder}/state", 2)
+    writers = {"out": lambda df, b: tables.write_batch(df, b, f"{folder}/out")}
+    handle = streaming.last_seen_batches(state, writers, threshold=T)
+    batches = [random_rows(s, n=80, start_id=1000 * s) for s in (1, 2, 3)]
+    for b, rows in enumerate(batches):
+        for _ in range(2):
+            handle(spark.createDataFrame(rows, SCHEMA), b)
+    out, n = got(spark.read.parquet(f"{folder}/out"))
+    assert n == 240
+    assert out == simulate(batches)[0]
