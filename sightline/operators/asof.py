@@ -22,17 +22,14 @@ def next_sighting(
 
     Both are NULL when there is none, or none within ``within`` seconds.
     """
-    known = sightings.distinct_seconds(seen, entity, seconds, row_id).select(
-        "entity", "sec", F.struct("sec", F.col("first_id").alias("id")).alias("_seen")
-    )
-    asked = late.select(F.col(entity).alias("entity"), F.col(seconds).alias("sec")).filter(
-        F.col("entity").isNotNull() & F.col("sec").isNotNull()
-    )
-    timeline = (
-        known.unionByName(asked, allowMissingColumns=True)
-        .groupBy("entity", "sec").agg(F.max("_seen").alias("_seen"))
-    )
-    found = sightings.with_neighbour(timeline, F.col("_seen"), forward=True).select(
+    nobody = F.lit(None).cast(seen.schema[row_id].dataType)
+    points = seen.select(F.col(entity).alias("entity"), F.col(seconds).alias("sec"), F.col(row_id).alias("_id"))
+    points = points.unionByName(
+        late.select(F.col(entity).alias("entity"), F.col(seconds).alias("sec"), nobody.alias("_id"))
+    ).filter(F.col("entity").isNotNull() & F.col("sec").isNotNull())
+    timeline = points.groupBy("entity", "sec").agg(F.min("_id").alias("_id"))
+    sighting = F.when(F.col("_id").isNotNull(), F.struct("sec", F.col("_id").alias("id")))
+    found = sightings.with_neighbour(timeline, sighting, forward=True).select(
         "entity", "sec", "neighbour"
     )
     joined = sightings.attach(late, found, F.col(entity), seconds)

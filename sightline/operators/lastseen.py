@@ -139,7 +139,7 @@ def last_seen_simple(
     result: str = "last_captured",
 ) -> DataFrame:
     """The plain delta: 1 for an unseen entity, the gap when later than before, else 0."""
-    timeline = sightings.distinct_seconds(rows, entity, seconds, row_id)
+    timeline = sightings.distinct_seconds(rows, entity, seconds, row_id).drop("repeated")
     gaps = sightings.with_neighbour(timeline, F.col("sec"), forward=False).select(
         "entity", "sec", "first_id", F.coalesce(F.col("sec") - F.col("neighbour"), F.lit(1)).alias("_gap")
     )

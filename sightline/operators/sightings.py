@@ -33,15 +33,19 @@ def with_neighbour(timeline: DataFrame, value: Column, forward: bool) -> DataFra
     """Add ``neighbour``: the nearest non-NULL ``value`` at an earlier (later) second.
 
     ``timeline`` has one row per (entity, sec). It is ordered within (entity, day), which is at
-    most 86,400 rows; what the other days contribute is one row per day.
+    most 86,400 rows; what the other days contribute is one row per day. Both parts read the
+    same shuffle by (entity, day).
     """
     day = F.floor(F.col("sec") / DAY_SECONDS)
     step = F.col("sec").desc() if forward else F.col("sec").asc()
     before = W.unboundedPreceding
     in_day = W.partitionBy("entity", "_day").orderBy(step).rowsBetween(before, -1)
-    marked = timeline.withColumn("_day", day).withColumn("_value", value)
+    marked = timeline.withColumns({"_day": day, "_value": value}).repartition("entity", "_day")
 
-    nearest = F.when(F.col("_value").isNotNull(), F.struct("sec", "_value"))
+    # The edge keeps all columns, so that both readers of the shuffle want the same ones of it
+    # and Spark runs it once.
+    rest = [c for c in timeline.columns if c not in ("entity", "sec")]
+    nearest = F.when(F.col("_value").isNotNull(), F.struct("sec", "_value", *rest))
     edge = F.min(nearest) if forward else F.max(nearest)
     day_step = F.col("_day").desc() if forward else F.col("_day").asc()
     over_days = W.partitionBy("entity").orderBy(day_step).rowsBetween(before, -1)

@@ -39,13 +39,13 @@ def top_k(
     score = distance(F.col(query_vector), F.col(row_vector))
     if digits is not None:
         score = F.round(score, digits)
-    scored = (
-        _pairs(queries, table, category)
-        .select(query_id, row_id, score.alias("similarity"))
-        .filter(F.col("similarity").isNotNull())
-    )
-    rank = F.row_number().over(W.partitionBy(query_id).orderBy("similarity", row_id))
-    return scored.withColumn("position", rank).filter(F.col("position") <= k)
+    scored = _pairs(queries, table, category).select(query_id, row_id, score.alias("similarity"))
+    # Missing distances go last and are dropped after the limit: a filter before it would be
+    # pushed below the projection and compute every distance a second time.
+    order = [F.col("similarity").asc_nulls_last(), F.col(row_id)]
+    rank = F.row_number().over(W.partitionBy(query_id).orderBy(*order))
+    nearest = scored.withColumn("position", rank).filter(F.col("position") <= k)
+    return nearest.filter(F.col("similarity").isNotNull())
 
 
 def nearest_to_one(
@@ -64,7 +64,8 @@ def nearest_to_one(
     if digits is not None:
         score = F.round(score, digits)
     scored = _pairs(query, table, category).select(row_id, score.alias("similarity"))
-    return scored.filter(F.col("similarity").isNotNull()).orderBy("similarity", row_id).limit(k)
+    nearest = scored.orderBy(F.col("similarity").asc_nulls_last(), row_id).limit(k)
+    return nearest.filter(F.col("similarity").isNotNull())
 
 
 def nearest_by_sql(
@@ -80,9 +81,9 @@ def nearest_by_sql(
         select id, similarity from (
             select t.id, {name}(q.feature, t.feature) as similarity
             from {{table}} t join {{query}} q on t.category = q.category
-            where t.feature != '' and t.feature != :missing)
+            where t.feature != '' and t.feature != :missing
+            order by similarity asc nulls last, id limit {int(k)})
         where similarity is not null
-        order by similarity, id limit {int(k)}
         """,
         args={"missing": schemas.NULL_FEATURE_TEXT},
         table=table,
