@@ -13,9 +13,12 @@ Rows are taken in the order (time, id). Rows whose entity is not worth tracking
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,32 +40,53 @@ def step(seen: bool, ct: int, lt: int, t: int, threshold: int) -> tuple[int, int
     return (gap, t, gap) if gap >= 0 else (gap, ct, lt)
 
 
+def _runs(keys: pa.Array) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal keys in a sorted column."""
+    n = len(keys)
+    cuts = np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False))
+    starts = [0, *(cuts + 1).tolist()]
+    return list(zip(starts, [*starts[1:], n]))
+
+
 def _walk(threshold: int):
     """Arrow batches of timelines sorted by (entity, seed first, second) -> counted seconds.
 
     Only the state of the entity at hand is kept from one batch to the next, so a timeline may
-    be of any length. A suppressed second gives no row.
+    be of any length. Suppressed seconds give no row and are skipped by bisection.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entity, seen, ct, lt = None, False, 0, 0
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = batch.column("entity")
+            secs = batch.column("sec").to_numpy().tolist()
+            repeated = batch.column("repeated").to_numpy(zero_copy_only=False).tolist()
+            gaps = batch.column("seed_gap")
+            seeds = {i: g for i, g in enumerate(gaps.to_pylist()) if g is not None} if gaps.null_count < len(gaps) else {}
             at, first, rest = [], [], []
-            columns = [batch.column(name).to_pylist() for name in ("entity", "sec", "repeated", "seed_gap")]
-            for i, (key, sec, repeated, seed_gap) in enumerate(zip(*columns)):
-                if key != entity:
-                    entity, seen = key, False
-                if seed_gap is not None:
-                    seen, ct, lt = True, sec, seed_gap
-                    continue
-                result, ct, lt = step(seen, ct, lt, sec, threshold)
-                seen = True
-                if result == SUPPRESSED:
-                    continue  # also a late second at -1, which reads the same without a row
-                if repeated and result >= 0:
-                    lt = 0  # the next row of this second comes after a gap of 0
-                at.append(i)
-                first.append(result)
-                rest.append(result if result < 0 else 0)
+            for start, end in _runs(keys):
+                if start > 0 or keys[0].as_py() != entity:
+                    seen = False
+                i = start
+                while i < end:
+                    t = secs[i]
+                    if i in seeds:
+                        seen, ct, lt = True, t, seeds[i]
+                        i += 1
+                        continue
+                    delta, ct, lt = step(seen, ct, lt, t, threshold)
+                    seen = True
+                    if delta == SUPPRESSED:  # or a late second at -1, which reads the same without a row
+                        i = bisect_left(secs, ct + threshold - lt, i + 1, end) if t > ct else i + 1
+                        continue
+                    if repeated[i] and delta >= 0:
+                        lt = 0  # the next row of this second comes after a gap of 0
+                    at.append(i)
+                    first.append(delta)
+                    rest.append(min(delta, 0))
+                    i += 1
+            entity = keys[-1].as_py()
             picked = batch.select(["entity", "sec", "first_id"]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*picked.columns, pa.array(first, pa.int64()), pa.array(rest, pa.int64())],
