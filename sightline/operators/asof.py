@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sightline import schemas
 from sightline.operators import sightings
+from sightline.operators.filters import valid_entity
 
 
 def next_sighting(
@@ -41,6 +42,29 @@ def next_sighting(
     )
 
 
+def late_neighbours(
+    rows: DataFrame,
+    seen: DataFrame,
+    entity: str = "entity",
+    seconds: str = "capture_time",
+    row_id: str = "id",
+    delta: str = "last_captured",
+    limit: int = schemas.LATE_SEARCH_SECONDS,
+) -> DataFrame:
+    """The late branch: rows late by less than ``limit`` get their next sighting.
+
+    Rows of untracked entities, and those that are later still, get the delta -1; only rows with
+    a negative delta above that are looked up.
+    """
+    searched = valid_entity(F.col(entity)) & (F.col(delta) > -limit)
+    asked = rows.withColumns({
+        "_asked": F.when(searched & (F.col(delta) < 0), F.col(entity)),
+        delta: F.when(searched, F.col(delta)).otherwise(-1).cast("bigint"),
+    })
+    named = seen.withColumn("_asked", F.col(entity))
+    return next_sighting(asked, named, "_asked", seconds, row_id).drop("_asked")
+
+
 def running_max(
     rows: DataFrame, key: str, arrival: str, value: str, result: str, chunk: int = 1 << 16
 ) -> DataFrame:

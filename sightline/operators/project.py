@@ -9,15 +9,20 @@ from sightline import schemas
 from sightline.functions import keys, timecodes
 
 
-def warehouse_row(events: DataFrame, buckets: int | None = None) -> DataFrame:
+def warehouse_row(
+    events: DataFrame, buckets: int | None = None, convert_create_time: bool = True
+) -> DataFrame:
     """Format 1 events to the warehouse row; ``dateid`` is last, as the partition column.
 
-    With ``buckets`` the brand's bucket comes just before it.
+    With ``buckets`` the brand's bucket comes just before it. The shadow ingest keeps the
+    creation time in digits; that is ``convert_create_time=False``.
     """
+    converted = ("capturetime", "createtime") if convert_create_time else ("capturetime",)
+
     def column(name: str, field: str | None) -> Column:
         if field is None:
             return F.lit(schemas.UNKNOWN_CODE).alias(name)
-        if name in ("capturetime", "createtime"):
+        if name in converted:
             return timecodes.epoch_seconds(F.col(field)).alias(name)
         return F.col(field).alias(name)
 
@@ -28,6 +33,19 @@ def warehouse_row(events: DataFrame, buckets: int | None = None) -> DataFrame:
     return events.select(*row)
 
 
+def first_warehouse_row(events: DataFrame) -> DataFrame:
+    """Format 1 events to the first generation of the row, with a TIMESTAMP and a text direction."""
+    return events.select(
+        F.col("id").alias("solrid"), F.col("plateNumber").alias("platenumber"),
+        timecodes.parse_time(F.col("captureTime")).alias("capturetime"),
+        F.col("directionId").alias("directionid"), F.col("colorId").alias("colorid"),
+        F.col("modelId").alias("modelid"), F.col("brandId").alias("brandid"),
+        F.col("levelId").alias("levelid"), F.col("yearId").alias("yearid"),
+        F.col("feature").alias("recfeature"), timecodes.day_id(F.col("captureTime")).alias("dateid"),
+        F.col("locationuuid").alias("locationid"),
+    )
+
+
 def index_columns(rows: DataFrame) -> DataFrame:
     return rows.select(*schemas.INDEX_COLUMNS)
 

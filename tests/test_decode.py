@@ -80,3 +80,17 @@ def test_coded_documents_have_their_fields(spark):
     row = decode.valid(decode.decode_json(spark.createDataFrame([('{"id":"7","speed":3}',)], "value string"), schemas.EVENT_V2))
     doc = project.coded(row, schemas.ROW_STORE_V2).toJSON().first()
     assert json.loads(doc) == {"A001": "7", "A035": 3}
+
+
+def test_warehouse_rows(spark):
+    line = '{"id":"a","plateNumber":"p","captureTime":20160913101725,"createTime":20160913101726,"directionId":"N","brandId":-1}'
+    row = decode.valid(decode.decode_json(spark.createDataFrame([(line,)], "value string"), schemas.EVENT_V1))
+    full = project.warehouse_row(row, buckets=10)
+    assert full.columns[-2:] == ["brandpartition", "dateid"] and len(full.columns) == 18
+    got = full.first()
+    assert (got.capturetime, got.createtime, got.directionid, got.brandpartition, got.dateid) == (
+        1473761845, 1473761846, -1, -1, 20160913
+    )
+    assert project.warehouse_row(row, convert_create_time=False).first().createtime == 20160913101726
+    first = project.first_warehouse_row(row)
+    assert len(first.columns) == 12 and str(first.first().capturetime) == "2016-09-13 10:17:25"

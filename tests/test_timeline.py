@@ -56,3 +56,13 @@ def test_late_class(spark):
     assert [r[0] for r in df.select(asof.late_class(F.col("delta"))).collect()] == [
         "first", "on_time", "on_time", "late", "late", "history"
     ]
+
+
+def test_late_neighbours(spark):
+    seen = spark.createDataFrame([(10, "abcdef", 1000), (11, "abcdef", 1100), (12, "abc", 1100)], SCHEMA)
+    rows = spark.createDataFrame(
+        [(1, "abcdef", 900, -100), (2, "abcdef", 500, -500), (3, "abcdef", 1050, 50), (4, "abc", 900, -100)],
+        SCHEMA + ", last_captured bigint",
+    )
+    out = {r.id: (r.last_captured, r.next_id, r.next_time) for r in asof.late_neighbours(rows, seen).collect()}
+    assert out == {1: (-100, 10, 1000), 2: (-1, None, None), 3: (50, None, None), 4: (-1, None, None)}
