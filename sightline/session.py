@@ -38,16 +38,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors can reach.
 
-    Only a session without that setting, as in a local test, gets a temporary folder; it is
-    then set as the checkpoint folder too, so that every caller sees the same one.
+    Only a session without that setting, as in a local test, gets a temporary folder, once.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="sightline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sightline-"))
+    return named or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
