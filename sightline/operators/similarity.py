@@ -28,7 +28,7 @@ def top_k(
     row_id: str,
     row_vector: str,
     k: int = schemas.TOP_K,
-    distance=vectors.squared_distance,
+    distance=vectors.array_distance,
     digits: int | None = None,
 ) -> DataFrame:
     """(query_id, row_id, similarity, position): the ``k`` nearest rows of every query.
@@ -56,7 +56,7 @@ def nearest_to_one(
     row_id: str,
     row_vector: str,
     k: int = schemas.TOP_K,
-    distance=vectors.squared_distance,
+    distance=vectors.array_distance,
     digits: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest rows of a single query row, as one ordered limit."""

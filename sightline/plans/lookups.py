@@ -148,7 +148,7 @@ DISTANCE_SQL = (
 
 def _vectors(spark, sf):
     return st.table(spark, sf, "embeddings").select(
-        F.col("label").alias("category"), "vec_id", F.col("embedding").cast("array<double>").alias("vector")
+        F.col("label").alias("category"), "vec_id", F.col("embedding").alias("vector")
     )
 
 

@@ -63,9 +63,15 @@ def test_byte_distance(spark):
         assert r.got == r.want, r
 
 
-def test_array_distance(spark):
-    df = spark.createDataFrame([([1.0, 2.0], [0.0, 4.0]), ([1.0], [1.0, 2.0]), (None, [1.0])], "a array<float>, b array<float>")
-    assert [r[0] for r in df.select(vectors.squared_distance(F.col("a"), F.col("b"))).collect()] == [5.0, None, None]
+@pytest.mark.parametrize("distance", [vectors.squared_distance, vectors.array_distance])
+def test_array_distance(spark, distance):
+    rows = [
+        ([1.0, 2.0], [0.0, 4.0], 5.0), ([1.0], [1.0, 2.0], None), (None, [1.0], None), ([], [], 0.0),
+        ([1.0, None], [1.0, 1.0], None), ([3.0], [0.0], 9.0), ([1.0, 2.0, 3.0], [3.0, 2.0, 1.0], 8.0), (None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "a array<float>, b array<float>, want double").repartition(1)
+    for r in df.withColumn("got", distance(F.col("a"), F.col("b"))).collect():
+        assert r.got == r.want, r
 
 
 def test_top_k_of_a_hot_category(spark):
