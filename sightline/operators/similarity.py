@@ -5,18 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sightline import schemas
+from sightline import schemas, session
 from sightline.functions import keys, vectors
 
 
-def _pairs(queries: DataFrame, table: DataFrame, category: list[str]) -> DataFrame:
-    """Each table row with the queries of its own category; columns ``_q`` and ``_v`` are set.
+#: Query vectors up to this size are sent to every executor; more of them are shuffled.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
-    The side of the queries is a micro-batch; Spark broadcasts it when its size allows, and
-    then the table is read in place. The distances are computed where the rows are.
+
+def _sized(queries: DataFrame, vector: str, max_bytes: int) -> DataFrame:
+    """The queries, marked for broadcast if their vectors are measured to be small enough.
+
+    They are checkpointed first, so measuring them does not compute them twice. Without the mark
+    Spark would shuffle the whole table before it could know how few queries there are.
     """
-    return table.join(queries, category)
+    session.shared_root(queries.sparkSession)
+    ready = queries.checkpoint()
+    if isinstance(queries.schema[vector].dataType, T.ArrayType):
+        weight = F.size(vector) * 8
+    else:
+        weight = F.octet_length(vector)
+    measured = ready.agg(F.coalesce(F.sum(weight + 64), F.lit(0)).alias("n")).first().n
+    return F.broadcast(ready) if measured <= max_bytes else ready
+
+
+def _pairs(queries: DataFrame, table: DataFrame, category: list[str], vector: str, max_bytes: int) -> DataFrame:
+    """Each table row with the queries of its own category, joined where the row is read."""
+    return table.join(_sized(queries, vector, max_bytes), category)
 
 
 def top_k(
@@ -30,6 +47,7 @@ def top_k(
     k: int = schemas.TOP_K,
     distance=vectors.array_distance,
     digits: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(query_id, row_id, similarity, position): the ``k`` nearest rows of every query.
 
@@ -39,7 +57,7 @@ def top_k(
     score = distance(F.col(query_vector), F.col(row_vector))
     if digits is not None:
         score = F.round(score, digits)
-    scored = _pairs(queries, table, category).select(query_id, row_id, score.alias("similarity"))
+    scored = _pairs(queries, table, category, query_vector, broadcast_bytes).select(query_id, row_id, score.alias("similarity"))
     # Missing distances go last and are dropped after the limit: a filter before it would be
     # pushed below the projection and compute every distance a second time.
     order = [F.col("similarity").asc_nulls_last(), F.col(row_id)]
@@ -58,12 +76,13 @@ def nearest_to_one(
     k: int = schemas.TOP_K,
     distance=vectors.array_distance,
     digits: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest rows of a single query row, as one ordered limit."""
     score = distance(F.col(query_vector), F.col(row_vector))
     if digits is not None:
         score = F.round(score, digits)
-    scored = _pairs(query, table, category).select(row_id, score.alias("similarity"))
+    scored = _pairs(query, table, category, query_vector, broadcast_bytes).select(row_id, score.alias("similarity"))
     nearest = scored.orderBy(F.col("similarity").asc_nulls_last(), row_id).limit(k)
     return nearest.filter(F.col("similarity").isNotNull())
 
@@ -76,6 +95,7 @@ def nearest_by_sql(
     ``query`` has (category, feature), ``table`` has (id, category, feature).
     """
     name = vectors.register(spark)
+    query = _sized(query, "feature", BROADCAST_BYTES)
     return spark.sql(
         f"""
         select id, similarity from (
@@ -92,12 +112,14 @@ def nearest_by_sql(
 
 
 def first_per_category(table: DataFrame, category: list[str], row_id: str, vector: str) -> DataFrame:
-    """The earliest row of each category as its query: (category, query_id, query_vector)."""
-    first = F.min(F.struct(F.col(row_id), F.col(vector)))
-    picked = table.groupBy(*category).agg(first.alias("_f"))
-    return picked.select(
-        *category, F.col(f"_f.{row_id}").alias("query_id"), F.col(f"_f.{vector}").alias("query_vector")
-    )
+    """The earliest row of each category as its query: (category, query_id, query_vector).
+
+    The ids are found without touching the vectors; only the rows that have them are fetched.
+    """
+    ids = table.groupBy(*category).agg(F.min(row_id).alias("query_id"))
+    vectors_of = table.select(*category, F.col(row_id).alias("query_id"), F.col(vector).alias("query_vector"))
+    found = vectors_of.join(ids, [*category, "query_id"])
+    return found.groupBy(*category, "query_id").agg(F.max("query_vector").alias("query_vector"))
 
 
 def parse_queries(lines: DataFrame, value: str = "value") -> DataFrame:

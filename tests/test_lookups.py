@@ -74,7 +74,9 @@ def test_array_distance(spark, distance):
         assert r.got == r.want, r
 
 
-def test_top_k_of_a_hot_category(spark):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_top_k_of_a_hot_category(spark, conf, broadcast_bytes):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     rng = random.Random(5)
     table = [(i, rng.choice([1, 1, 1, 2]), encoded([rng.randrange(256) for _ in range(8)])) for i in range(500)]
     queries = [(q, c, encoded([rng.randrange(256) for _ in range(8)])) for q, c in ((1, 1), (2, 1), (3, 2), (4, 9))]
@@ -82,7 +84,10 @@ def test_top_k_of_a_hot_category(spark):
         spark.createDataFrame(queries, "query_id int, category int, q string"),
         spark.createDataFrame(table, "id int, category int, f string"),
         ["category"], "query_id", "q", "id", "f", k=7, distance=vectors.byte_distance,
+        broadcast_bytes=broadcast_bytes,
     )
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" if broadcast_bytes else "SortMergeJoin") in plan
     want = set()
     for q, c, text in queries:
         vec = base64.b64decode(text)
