@@ -18,7 +18,7 @@ def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFram
 
     Fields are matched by name; unknown ones are ignored and missing ones are NULL. Numbers
     may come quoted. A line is corrupt when it is not one JSON object, or when a value does
-    not fit its field.
+    not fit its field. Blank lines are dropped.
     """
     target = T.StructType.fromDDL(schema)
     names = {f.name for f in target}
@@ -45,7 +45,8 @@ def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFram
 
     # The generator parses and casts a line once. What follows sees plain columns: filters on
     # them stay above it, where a projection would let each of them parse the line again.
-    parsed = F.array(F.from_json(line, as_text, options))
+    # A blank line has nothing to generate from, so it goes without a filter of its own.
+    parsed = F.when(F.length(F.trim(line)) > 0, F.array(F.from_json(line, as_text, options)))
     return lines.select(*[F.col(c) for c in kept], F.inline(F.transform(parsed, typed)))
 
 

@@ -108,7 +108,7 @@ def pipeline_two_stage(spark, sf):
         F.col("p_partkey").cast("int").alias("yearId"), F.substring_index("p_brand", "#", -1).cast("int").alias("brand")
     )
     source = stream.files(spark, lines, "value string", fmt="text")
-    events = decode.valid(decode.decode_json(decode.nonblank(source), schemas.EVENT_V2))
+    events = decode.valid(decode.decode_json(source, schemas.EVENT_V2))
     slim = events.select("id", "plateNumber", "captureTime", "yearId")
     rich = enrich.lookup(slim, dim, ["yearId"], {"brand": -1}, unique=True)
     publish = {"feed": lambda df, b: tables.write_batch(messages.as_json(df), b, f"{root}/feed", fmt="text")}

@@ -182,7 +182,7 @@ select cast(id as varchar) as id, entity as plateNumber, capture_time as capture
     cast(null as varchar) as directionId
 from ev where category <> 'error'""")
 def json_decode(spark, sf):
-    rows = decode.valid(decode.decode_json(decode.nonblank(st.lines(spark, sf)), schemas.EVENT_V2))
+    rows = decode.valid(decode.decode_json(st.lines(spark, sf), schemas.EVENT_V2))
     return rows.select(
         "id", "plateNumber", "captureTime", "yearId", "nodeId", "locationId", "partType", "speed", "directionId"
     )
@@ -193,7 +193,7 @@ select value from lines where category = 'error'
 union all select text as value from conversations where length(trim(text)) > 0""")
 def json_quarantine(spark, sf):
     talk = st.table(spark, sf, "conversations").select(F.col("text").alias("value"))
-    lines = decode.nonblank(st.lines(spark, sf).unionByName(talk))
+    lines = st.lines(spark, sf).unionByName(talk)
     return decode.quarantine(decode.decode_json(lines, schemas.EVENT_V2))
 
 

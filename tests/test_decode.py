@@ -20,7 +20,7 @@ def lines(spark):
 
 
 def test_valid_and_quarantine_partition_the_lines(spark):
-    decoded = decode.decode_json(decode.nonblank(lines(spark)), schemas.EVENT_V2)
+    decoded = decode.decode_json(lines(spark), schemas.EVENT_V2)
     good = decode.valid(decoded).collect()
     bad = [r.value for r in decode.quarantine(decoded).collect()]
     assert sorted(bad) == sorted([LINES[2], LINES[3], "plain text", "null", "12", '[{"id":"5"}]'])
