@@ -86,7 +86,7 @@ def multi_sink_counts(spark, sf):
     return stream.union(counted)
 
 
-PIPELINE_SQL = st.with_(FOLD_SQL.replace("from ev where", "from ev where category <> 'error' and"), recursive=True) + """
+TWO_STAGE_SQL = st.with_(FOLD_SQL.replace("from ev where", "from ev where category <> 'error' and"), recursive=True) + """
 select 'pass' || strftime(make_timestamp(ev.capture_time * 1000000), '%Y%m') as index_name,
     cast(ev.id as varchar) as doc_id, ev.capture_time as version,
     '{"A001":"' || ev.id || '","A006":' || coalesce(cast(split_part(p_brand, '#', 2) as integer), -1)
@@ -95,13 +95,13 @@ from ev join deltas on ev.id = deltas.id left join part on p_partkey = ev.year_i
 where category <> 'error'"""
 
 
-@query("pipeline_two_stage", PIPELINE_SQL)
-def pipeline_two_stage(spark, sf):
+@query("two_stage_feed", TWO_STAGE_SQL)
+def two_stage_feed(spark, sf):
     """Lines -> decode, enrich, last-seen -> JSON feed -> decode -> monthly documents.
 
     Two queries with their own checkpoints, joined by the feed between them.
     """
-    root = session.scratch_path(spark, "pipeline")
+    root = session.scratch_path(spark, "two-stage")
     lines = session.scratch_path(spark, "lines")
     st.lines(spark, sf).write.text(lines)
     dim = st.table(spark, sf, "part").select(
