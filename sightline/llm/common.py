@@ -60,6 +60,27 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+MATCHES = "array<struct<s:int,e:int,v:string>>"
+
+
+def find_all(text: Column, pattern: Column) -> Column:
+    """Leftmost non-overlapping matches: array of (s, e, v), in code points, the end exclusive.
+
+    The gaps between matches give their places; the pattern must not match the empty text.
+    """
+    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
+    lengths = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("v"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("found"))
+
+    def step(acc, x):
+        s = acc["at"] + x["gap"]
+        e = s + F.coalesce(F.char_length(x["v"]), F.lit(0))
+        more = F.array_append(acc["found"], F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))
+        return F.struct(e.alias("at"), F.when(x["v"].isNotNull(), more).otherwise(acc["found"]).alias("found"))
+
+    return F.aggregate(lengths, start, step, lambda acc: acc["found"])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

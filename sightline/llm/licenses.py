@@ -127,22 +127,6 @@ def _keywords(form: str, keywords: str, identifier: str, address: str) -> list[s
     return keywords.split("|")
 
 
-def _spans(text: Column, rule: Column) -> Column:
-    """Where a rule matches: array of (start, end), in code points."""
-    gaps = F.transform(F.split(text, rule["regex"], -1), F.char_length)
-    found = F.transform(F.regexp_extract_all(text, rule["regex"], F.lit(0)), F.char_length)
-    lengths = F.arrays_zip(gaps.alias("gap"), found.alias("n"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("spans"))
-
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
-        e = s + F.coalesce(x["n"], F.lit(0))
-        more = F.array_append(acc["spans"], F.struct(s.alias("s"), e.alias("e")))
-        return F.struct(e.alias("at"), F.when(x["n"].isNotNull(), more).otherwise(acc["spans"]).alias("spans"))
-
-    return F.aggregate(lengths, start, step, lambda acc: acc["spans"])
-
-
 def scan(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """Scan every text: a row for each row.
 
@@ -211,7 +195,7 @@ def scan(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFra
         _base=F.when(F.size("_starts") > 0, F.array_sort(F.array_compact(F.array(*base))))
         .otherwise(F.array().cast("array<string>")),
         _found=F.when(F.size("_rules") > 0, F.array_sort(F.flatten(F.transform(F.col("_rules"), lambda r: F.transform(
-            _spans(F.col("_text"), r),
+            common.find_all(F.col("_text"), r["regex"]),
             lambda s: F.struct(
                 s["s"].alias("start"), (-s["e"]).alias("before"), r["p"].alias("priority"),
                 r["label"].alias("label"), r["c"].alias("confidence"),
