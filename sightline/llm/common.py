@@ -86,6 +86,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def sized(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """A narrow table to join with: broadcast if it has been counted small, else left to a shuffle."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
         F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0)).alias("h")
