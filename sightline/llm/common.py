@@ -91,6 +91,13 @@ def sized(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def without(docs: DataFrame, gone: DataFrame, row_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that are not in ``gone`` (``row_id``, digest: xxhash64 of the text)."""
+    gone = sized(gone.select(F.col(row_id).alias("_gone_id"), F.col("digest").alias("_gone_digest")))
+    same = docs[row_id].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(whole(docs[text])) == F.col("_gone_digest"))
+    return docs.join(gone, same, "left_anti")
+
+
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
         F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0)).alias("h")
