@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from sightline.llm import gridjoin, licenses, pii, quality, simhash, tokens, toxicity  # noqa: F401
+from sightline.llm import decontaminate, gridjoin, licenses, pii, quality, simhash, tokens, toxicity  # noqa: F401
 from sightline.llm.registry import ORACLES, QUERIES  # noqa: F401
