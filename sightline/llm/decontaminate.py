@@ -29,7 +29,7 @@ K1, B = 1.2, 0.75
 #: Words in a shingle, and the part of an item's shingles (and its answer's words) a passage must have.
 SHINGLE, OVERLAP = 5, 0.8
 #: Items in a block at least, and blocks at most.
-BLOCK, BLOCKS = 8, 64
+BLOCK, BLOCKS = 4, 64
 PART_BYTES = 8 << 20
 
 _SPLIT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -47,33 +47,39 @@ def shingles(found: list[bytes]) -> set[bytes]:
 
 
 class Index:
-    """Postings with BM25 weights; items are numbered, blocks are runs of item numbers."""
+    """Postings with BM25 weights.
+
+    Items are numbered by the score they need and blocks are runs of numbers, so that the items of a
+    block need about the same and its bound is tight.
+    """
 
     def __init__(self, items: list[tuple[int, str]], overlap: float = OVERLAP):
         parts = [(i, *self._question_and_answer(text)) for i, text in items]
         parts = [p for p in parts if p[1]]
-        self.ids = [p[0] for p in parts]
-        self.questions = [shingles(p[1]) for p in parts]
-        self.answers = [set(p[2]) for p in parts]
-        self.overlap = overlap
         bags = [Counter(p[1] + p[2]) for p in parts]
         lengths = [sum(b.values()) for b in bags]
         self.longest = max(lengths, default=0)
         average = sum(lengths) / len(lengths) if lengths else 1.0
         self.terms = {w: n for n, w in enumerate(sorted({w for b in bags for w in b}))}
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         df = Counter(w for b in bags for w in b)
-        self.needed = []
-        for n, (bag, length) in enumerate(zip(bags, lengths)):
+        made = []
+        for (item, question, answer), bag, length in zip(parts, bags, lengths):
             weights = {}
             for w, tf in bag.items():
                 idf = np.log(1 + (len(bags) - df[w] + 0.5) / (df[w] + 0.5))
-                weights[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
-                lists[self.terms[w]].append((n, weights[w]))
+                weights[w] = float(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average)))
             # a missing word breaks at least one shingle, so a verified passage lacks at most this many
-            lacking = int((1 - overlap) * len(self.questions[n]) + 1e-9) + int((1 - overlap) * len(self.answers[n]) + 1e-9)
-            rest = sorted(weights.values())[: len(weights) - lacking] if lacking else list(weights.values())
-            self.needed.append(sum(rest) - 1e-6)
+            cut, words_of = shingles(question), set(answer)
+            lacking = int((1 - overlap) * len(cut) + 1e-9) + int((1 - overlap) * len(words_of) + 1e-9)
+            least = sum(sorted(weights.values())[: max(0, len(weights) - lacking)]) - 1e-6
+            made.append((least, item, cut, words_of, weights))
+        made.sort(key=lambda m: m[:2])
+        self.needed, self.ids, self.questions, self.answers = ([m[i] for m in made] for i in range(4))
+        self.overlap = overlap
+        lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
+        for n, m in enumerate(made):
+            for w, weight in m[4].items():
+                lists[self.terms[w]].append((n, weight))
         self.floor = min(self.needed, default=np.inf)
         self.block = max(BLOCK, -(-len(bags) // BLOCKS))
         blocks = -(-len(bags) // self.block)
