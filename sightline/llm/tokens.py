@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import public_tokenizers
@@ -26,7 +27,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Context length above which a document is marked, in tokens.
 LIMIT = 512
 #: Pieces a worker remembers (it starts anew beyond them), and the longest piece worth it.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
+#: Marks that may follow a word.
+MARKS = ".,;:!?"
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens bigint"
 
@@ -36,43 +39,76 @@ class Encoder:
 
     A byte-level vocabulary splits texts by a fixed expression before it merges bytes, and there is
     always a split at a single space or line break between two other characters. So texts are cut
-    there, and every distinct piece goes to the library once. Texts with other white space are
-    encoded whole, and so is everything by vocabularies that normalise or split otherwise.
+    there, and every distinct piece goes to the library once. A piece of letters, with a space before
+    or a mark behind, is one or two units of that split, so it goes to the library's merging directly.
+    Texts with other white space are encoded whole, and so is everything by vocabularies that
+    normalise or split otherwise.
     """
 
-    def __init__(self, definition: str, keep: Callable):
+    def __init__(self, definition: str):
         self.library = Tokenizer.from_str(definition)
         self.library.no_truncation()
         self.library.no_padding()
         parts = json.loads(definition)
         split = parts.get("pre_tokenizer") or {}
+        added = [t["content"] for t in parts["added_tokens"]]
         self.by_piece = (
             parts.get("normalizer") is None and split.get("type") == "ByteLevel"
             and split.get("use_regex", True) and not split.get("add_prefix_space")
-            and not any(t["content"].split() != [t["content"]] or t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
+            and not any(x.split() != [x] for x in added) and not any(t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
         )
-        self.keep = keep
-        self.known: dict[str, object] = {}
+        self.by_word = self.by_piece and parts["model"]["type"] == "BPE" and not any(x.isalpha() or len(x) == 1 for x in added)
+        self.known: dict[str, bytes] = {}
+        # the library's stand-ins for bytes: printable ones for themselves, the others from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in plain]
+        self.stand_ins = {b: 256 + i for i, b in enumerate(others)}
+        self.marks = {m: self._whole([m])[0] for m in MARKS}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _word(self, piece: str) -> bytes | None:
+        """Ids of a piece of letters, or None if it is something else."""
+        body = piece[1:] if piece[0] == " " else piece
+        mark = body[-1:] if body[-1:] in self.marks else ""
+        if mark:
+            body, piece = body[:-1], piece[:-1]
+        if not body.isalpha() or not (body.isascii() or max(body) < "\u0250"):
+            return None
+        ids = self.known.get(piece)
+        if ids is None:
+            units = piece.encode().decode("latin-1").translate(self.stand_ins)
+            ids = array("I", [t.id for t in self.library.model.tokenize(units)]).tobytes()
+        return ids + self.marks[mark] if mark else ids
 
     def _pieces(self, text: str) -> list[str]:
-        single = len(text.split()) == text.count(" ") + text.count("\n") + 1
-        if not (self.by_piece and single):
+        if not self.by_piece or text.split() != text.replace("\n", " ").split(" "):
             return [text]
         return text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
 
-    def _look_up(self, texts: list[list[str]]) -> Iterator[list]:
+    def _look_up(self, texts: list[list[str]]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({p for cut in texts for p in cut if p not in self.known})
-        encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {p: self.keep(e) for p, e in zip(new, encoded)}
-        self.known.update((p, kept) for p, kept in fresh.items() if len(p) <= LONGEST)
-        known = self.known
+        known, rest, passing = self.known, [], []
+        for p in set().union(*texts):
+            if p not in known:
+                ids = self._word(p) if self.by_word and p else None
+                if ids is None:
+                    rest.append(p)
+                else:
+                    known[p] = ids
+                if len(p) > LONGEST:
+                    passing.append(p)
+        known.update(zip(rest, self._whole(rest)))
         for cut in texts:
-            yield [known[p] if p in known else fresh[p] for p in cut]
+            yield b"".join(map(known.__getitem__, cut))
+        for p in passing:
+            del known[p]
 
-    def each(self, texts: Iterable[str], size: int = 2_000_000) -> Iterator[list]:
-        """What ``keep`` made of every piece, as a list per text; about ``size`` characters are held."""
+    def each(self, texts: Iterable[str], size: int = 2_000_000) -> Iterator[bytes]:
+        """The ids of every text as native unsigned 32-bit numbers; about ``size`` characters are held."""
         held, waiting = 0, []
         for text in texts:
             waiting.append(self._pieces(text))
@@ -83,14 +119,14 @@ class Encoder:
         yield from self._look_up(waiting)
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def encoder(definition: str, keep: Callable) -> Encoder:
+def encoder(definition: str) -> Encoder:
     """The worker's encoder, made once per process."""
-    key = (hashlib.sha256(definition.encode()).hexdigest(), keep.__qualname__)
+    key = hashlib.sha256(definition.encode()).hexdigest()
     if key not in _encoders:
-        _encoders[key] = Encoder(definition, keep)
+        _encoders[key] = Encoder(definition)
     return _encoders[key]
 
 
@@ -102,9 +138,9 @@ def definition_at(path: str) -> str:
 
 def _counting(definition: str, version: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = encoder(definition, len)
+        encode = encoder(definition)
         for batch in batches:
-            totals = [sum(lengths) for lengths in count.each(batch["text"])]
+            totals = [len(ids) // 4 for ids in encode.each(batch["text"])]
             yield pd.DataFrame({"digest": batch["digest"], "tokenizer": version, "n_tokens": totals})
     return run
 
