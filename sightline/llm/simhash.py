@@ -56,7 +56,7 @@ def _fingerprints(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [_signed(fingerprint(t, words)) for t in batch["_text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(made, dtype=np.int64)})
+            yield batch[["_id", "digest"]].assign(fp=np.array(made, dtype=np.int64))
     return run
 
 
@@ -172,8 +172,21 @@ def near_duplicates(
     fingerprint's component; where all ids of a fingerprint are NULL it joins nothing and the
     component is NULL. Whole texts are hashed; an empty table gives an empty result.
     """
-    whole = docs.select(F.col(row_id).cast("bigint").alias("doc_id"), common.whole(text).alias("_text"))
-    prints = common.stored(whole.mapInPandas(_fingerprints(words), "doc_id bigint, fp bigint"), "simhash-fingerprints")
+    found = classes(docs, text, row_id, words, radius, limit)
+    return found.select(
+        F.col("doc_id").alias(row_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def classes(docs: DataFrame, text: str, row_id: str, words: int = WORDS, radius: int = RADIUS, limit: int = SHARD) -> DataFrame:
+    """(doc_id, digest, fp, component_id) for each row; ``digest`` is xxhash64 of the text."""
+    whole = docs.select(
+        F.col(row_id).cast("string").alias("_id"), F.xxhash64(common.whole(text)).alias("digest"), common.whole(text).alias("_text")
+    )
+    prints = whole.mapInPandas(_fingerprints(words), "_id string, digest bigint, fp bigint").select(
+        F.col("_id").cast("bigint").alias("doc_id"), "digest", "fp"
+    )
+    prints = common.stored(prints, "simhash-fingerprints")
     first = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"), "simhash-first")
     links = []
     for fps in _shards(first.select("fp"), radius, limit):
@@ -187,11 +200,28 @@ def near_duplicates(
         .join(first.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
     )
     found = common.components(named.select(F.col("x").alias("a"), F.col("y").alias("b")), "simhash-edges")
-    classes = first.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    classes = common.stored(classes, "simhash-classes")
-    return prints.join(classes, "fp", "left").select(
-        F.col("doc_id").alias(row_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    named = first.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(common.stored(named, "simhash-classes"), "fp", "left").select("doc_id", "digest", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is their component's smallest.
+
+    Of rows with the same id and text one stays. Rows with a NULL id stay if no id of their
+    component is known, else they go.
+    """
+    found = common.stored(classes(docs, text, row_id).select(F.col("doc_id").alias(row_id), "digest", "component_id"), "simhash-rows")
+    own = F.coalesce(F.col(row_id) == F.col("component_id"), F.col("component_id").isNull())
+    left = common.without(docs, found.filter(~own).select(row_id, "digest").distinct(), row_id, text)
+    repeated = found.filter(own).groupBy(row_id, "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    repeated = common.stored(repeated, "simhash-repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.withColumn("_digest", F.xxhash64(common.whole(text)))
+    again = repeated.select(F.col(row_id).alias("_again"), F.col("digest").alias("_same"))
+    same = F.col(row_id).eqNullSafe(F.col("_again")) & (F.col("_digest") == F.col("_same"))
+    one = once.join(again, same, "left_semi").dropDuplicates([row_id, "_digest"])
+    return once.join(again, same, "left_anti").union(one).drop("_digest")
 
 
 @query("op3_simhash")
