@@ -13,13 +13,8 @@ UDF_NAME = "feature_distance"
 
 
 def byte_sum(feature: Column) -> Column:
-    """Sum of the unsigned bytes of a base64 feature; NULL when it is not base64.
-
-    ISO-8859-1 maps every byte to the code point of the same number, so the bytes can be
-    summed as characters inside one expression.
-    """
-    chars = F.split(F.decode(F.try_to_binary(feature, F.lit("base64")), "ISO-8859-1"), "")
-    return F.aggregate(chars, F.lit(0).cast("bigint"), lambda acc, c: acc + F.ascii(c))
+    """Sum of the unsigned bytes of a base64 feature; NULL when it is not base64."""
+    return _binary_sum(_decoded(feature))
 
 
 def byte_checksum(feature: Column) -> Column:
@@ -90,6 +85,18 @@ def _binary_distance(left: pa.Array, right: pa.Array) -> pa.Array:
     return _spread(_row_sums((a - b) ** 2, lengths), good, pa.int64())
 
 
+@F.arrow_udf(T.LongType())
+def _binary_sum(values: pa.Array) -> pa.Array:
+    """Sum of unsigned bytes, in one numpy pass over a batch's bytes."""
+    good = values.is_valid()
+    lengths = pc.binary_length(values.drop_null()).to_numpy().astype(np.int64)
+    found, out = _bytes_of(values.drop_null()), np.zeros(len(lengths), np.int64)
+    filled = lengths > 0
+    if filled.any():
+        out[filled] = np.add.reduceat(found, (np.cumsum(lengths) - lengths)[filled], dtype=np.int64)
+    return _spread(out, good.to_numpy(zero_copy_only=False).copy(), pa.int64())
+
+
 def _decoded(feature: Column | str) -> Column:
     return F.try_to_binary(F.col(feature) if isinstance(feature, str) else feature, F.lit("base64"))
 

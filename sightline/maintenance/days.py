@@ -31,6 +31,12 @@ def days_of(spark: SparkSession, table: str, first: int, last: int, column: str
     return [row.d for row in found.collect()]
 
 
+def files_of(spark: SparkSession, table: str, day: int, column: str = "dateid") -> set[str]:
+    """The data files of a day, from the listing; no data is read."""
+    spark.catalog.refreshTable(table)
+    return set(spark.table(table).filter(F.col(column) == day).inputFiles())
+
+
 def drop_day(spark: SparkSession, table: str, day: int, column: str = "dateid") -> None:
     """Remove a day. It is emptied first: dropping a partition of an external table keeps its
     files, and they would come back with the next row written to that day."""
@@ -46,8 +52,10 @@ def compact_day(
     """Rewrite one day in few files, gathered by ``by % buckets``; False if there is no such day.
 
     The rows go to a staging folder first. They replace the day only when the staged count is
-    that of the day, and the replacement is a single overwrite of that partition.
+    that of the day and it still has the files it had before, and the replacement is a single
+    overwrite of that partition.
     """
+    files = files_of(spark, table, day, column)
     rows = spark.table(table).filter(F.col(column) == day)
     if rows.limit(1).isEmpty():
         return False
@@ -55,7 +63,7 @@ def compact_day(
     gathered = rows.withColumn("_bucket", F.col(by) % buckets).hint("rebalance", "_bucket").drop("_bucket")
     gathered.write.parquet(staging)
     staged = spark.read.schema(rows.schema).parquet(staging)
-    if staged.count() != rows.count():
+    if staged.count() != rows.count() or files_of(spark, table, day, column) != files:
         raise RuntimeError(f"{table}: day {day} changed while it was being compacted")
     tables.replace_partition(staged, table, column, day)
     spark.catalog.refreshTable(table)
@@ -81,24 +89,41 @@ def merge_days(
 ) -> list[int]:
     """Move the source's days between ``first`` and ``last`` into the target's finer partitions.
 
-    All of them are written by one job; the source days are dropped afterwards. Days the source
+    All of them are written by one job; then they are marked as merged, and dropped. Days the source
     lacks are skipped. Rows are added to what the target has; ``replace`` overwrites the target
-    partitions instead, for running a job again that failed before its days were dropped.
-    Returns the moved days.
+    partitions instead. A run after one that failed finds the days that were marked but not dropped
+    and only drops them. Returns the moved days.
+
+    The marks are ``merged_days`` in the target's properties: the days of one call, until the last of
+    them is dropped.
     """
     days = days_of(spark, source, first, last, column)
-    if days:
-        rows = spark.table(source).filter(F.col(column).isin(days))
+    marked = _marked(spark, target)
+    fresh = [d for d in days if f"{source}/{d}" not in marked]
+    if fresh:
+        rows = spark.table(source).filter(F.col(column).isin(fresh))
         placed = rows.hint("rebalance", *by)
         if replace:
             tables.replace_partitions(placed, target)
         else:
             placed.select(*spark.table(target).columns).write.mode("append").insertInto(target)
-        for day in days:
-            drop_day(spark, source, day, column)
+        marked |= {f"{source}/{d}" for d in fresh}
+        _mark(spark, target, marked)
+    for day in days:
+        drop_day(spark, source, day, column)
+    _mark(spark, target, marked - {f"{source}/{d}" for d in days})
     return days
 
 
+def _marked(spark: SparkSession, table: str) -> set[str]:
+    found = {r.key: r.value for r in spark.sql(f"show tblproperties {table}").collect()}
+    return set(filter(None, found.get("merged_days", "").split(",")))
+
+
+def _mark(spark: SparkSession, table: str, days: set[str]) -> None:
+    spark.sql(f"alter table {table} set tblproperties ('merged_days' = '{','.join(sorted(days))}')")
+
+
 def days_back(day: int, n: int) -> int:
     """The ``yyyyMMdd`` number of the day ``n`` days before ``day``."""
     return int((datetime.strptime(str(day), "%Y%m%d") - timedelta(days=n)).strftime("%Y%m%d"))

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt"
 
 
-def nonblank(lines: DataFrame, value: str = "value") -> DataFrame:
-    return lines.filter(F.length(F.trim(F.col(value))) > 0)
+def nonempty(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines that hold something, if only spaces."""
+    return lines.filter(F.col(value) != "")
 
 
 def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
@@ -18,7 +19,8 @@ def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFram
 
     Fields are matched by name; unknown ones are ignored and missing ones are NULL. Numbers
     may come quoted. A line is corrupt when it is not one JSON object, or when a value does
-    not fit its field. Blank lines are dropped.
+    not fit its field; so is a line of spaces. Empty lines are dropped. A NULL line is corrupt
+    and stands in ``_corrupt`` as the empty text, which no other line does.
     """
     target = T.StructType.fromDDL(schema)
     names = {f.name for f in target}
@@ -40,13 +42,13 @@ def decode_json(lines: DataFrame, schema: str, value: str = "value") -> DataFram
                 fitted = text.try_cast(f.dataType)
                 fields.append(fitted.alias(f.name))
                 misfit = misfit | (text.isNotNull() & fitted.isNull())
-        bad = ~F.ltrim(line).startswith("{") | row.getField(CORRUPT).isNotNull() | misfit
-        return F.struct(*fields, F.when(bad, line).alias(CORRUPT))
+        bad = line.isNull() | ~F.ltrim(line).startswith("{") | row.getField(CORRUPT).isNotNull() | misfit
+        return F.struct(*fields, F.when(bad, F.coalesce(line, F.lit(""))).alias(CORRUPT))
 
     # The generator parses and casts a line once. What follows sees plain columns: filters on
     # them stay above it, where a projection would let each of them parse the line again.
-    # A blank line has nothing to generate from, so it goes without a filter of its own.
-    parsed = F.when(F.length(F.trim(line)) > 0, F.array(F.from_json(line, as_text, options)))
+    # An empty line has nothing to generate from, so it goes without a filter of its own.
+    parsed = F.when(line.isNull() | (line != ""), F.array(F.from_json(line, as_text, options)))
     return lines.select(*[F.col(c) for c in kept], F.inline(F.transform(parsed, typed)))
 
 

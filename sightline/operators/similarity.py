@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sightline import schemas, session
 from sightline.functions import keys, vectors
@@ -15,25 +14,23 @@ from sightline.functions import keys, vectors
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _sized(queries: DataFrame, vector: str, max_bytes: int) -> DataFrame:
-    """The queries, marked for broadcast if their vectors are measured to be small enough.
+def _sized(queries: DataFrame, max_bytes: int) -> DataFrame:
+    """The queries, marked for broadcast if they are measured to be small enough.
 
     They are checkpointed first, so measuring them does not compute them twice. Without the mark
     Spark would shuffle the whole table before it could know how few queries there are.
     """
     session.shared_root(queries.sparkSession)
     ready = queries.checkpoint()
-    if isinstance(queries.schema[vector].dataType, T.ArrayType):
-        weight = F.size(vector) * 8
-    else:
-        weight = F.octet_length(vector)
-    measured = ready.agg(F.coalesce(F.sum(weight + 64), F.lit(0)).alias("n")).first().n
+    # text of all columns: at least what the values take, but for long numbers
+    weight = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in ready.columns), F.lit(0))
+    measured = ready.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first().n
     return F.broadcast(ready) if measured <= max_bytes else ready
 
 
-def _pairs(queries: DataFrame, table: DataFrame, category: list[str], vector: str, max_bytes: int) -> DataFrame:
+def _pairs(queries: DataFrame, table: DataFrame, category: list[str], max_bytes: int) -> DataFrame:
     """Each table row with the queries of its own category, joined where the row is read."""
-    return table.join(_sized(queries, vector, max_bytes), category)
+    return table.join(_sized(queries, max_bytes), category)
 
 
 def top_k(
@@ -57,7 +54,7 @@ def top_k(
     score = distance(F.col(query_vector), F.col(row_vector))
     if digits is not None:
         score = F.round(score, digits)
-    scored = _pairs(queries, table, category, query_vector, broadcast_bytes).select(query_id, row_id, score.alias("similarity"))
+    scored = _pairs(queries, table, category, broadcast_bytes).select(query_id, row_id, score.alias("similarity"))
     # Missing distances go last and are dropped after the limit: a filter before it would be
     # pushed below the projection and compute every distance a second time.
     order = [F.col("similarity").asc_nulls_last(), F.col(row_id)]
@@ -82,7 +79,8 @@ def nearest_to_one(
     score = distance(F.col(query_vector), F.col(row_vector))
     if digits is not None:
         score = F.round(score, digits)
-    scored = _pairs(query, table, category, query_vector, broadcast_bytes).select(row_id, score.alias("similarity"))
+    table = in_category_of(query, table, category)
+    scored = _pairs(query, table, category, broadcast_bytes).select(row_id, score.alias("similarity"))
     nearest = scored.orderBy(F.col("similarity").asc_nulls_last(), row_id).limit(k)
     return nearest.filter(F.col("similarity").isNotNull())
 
@@ -95,7 +93,8 @@ def nearest_by_sql(
     ``query`` has (category, feature), ``table`` has (id, category, feature).
     """
     name = vectors.register(spark)
-    query = _sized(query, "feature", BROADCAST_BYTES)
+    table = in_category_of(query, table, ["category"])
+    query = _sized(query, BROADCAST_BYTES)
     return spark.sql(
         f"""
         select id, similarity from (
@@ -111,6 +110,20 @@ def nearest_by_sql(
     )
 
 
+def in_category_of(query: DataFrame, table: DataFrame, category: list[str]) -> DataFrame:
+    """The rows of the single query row's category, by its values, which a scan can be pruned with."""
+    found = query.select(*category).first()
+    for c in category:
+        table = table.filter(F.col(c) == (found[c] if found else None))
+    return table
+
+
+def first_row(table: DataFrame, row_id: str) -> DataFrame:
+    """The row with the least id, found without touching the other columns."""
+    least = table.agg(F.min(row_id).alias("least")).first().least
+    return table.filter(F.col(row_id) == least).limit(1)
+
+
 def first_per_category(table: DataFrame, category: list[str], row_id: str, vector: str) -> DataFrame:
     """The earliest row of each category as its query: (category, query_id, query_vector).
 

@@ -158,8 +158,7 @@ select vec_id, {DISTANCE_SQL.format(a='qe', b='embedding')} as similarity
 from embeddings e join q on e.label = q.label order by similarity, vec_id limit 100""")
 def topk_similar(spark, sf):
     table = _vectors(spark, sf)
-    first = table.agg(F.min(F.struct("vec_id", "category", "vector")).alias("f"))
-    one = first.select(F.col("f.category").alias("category"), F.col("f.vector").alias("query_vector"))
+    one = sim.first_row(table, "vec_id").select("category", F.col("vector").alias("query_vector"))
     return sim.nearest_to_one(one, table, ["category"], "query_vector", "vec_id", "vector", digits=6)
 
 
@@ -212,6 +211,5 @@ order by similarity, id limit 100""")
 def topk_similar_udf(spark, sf):
     table = _features(spark, sf)
     usable = table.filter((F.col("feature") != "") & (F.col("feature") != "null"))
-    first = usable.agg(F.min(F.struct("id", "category", "feature")).alias("f"))
-    one = first.select(F.col("f.category").alias("category"), F.col("f.feature").alias("feature"))
+    one = sim.first_row(usable, "id").select("category", "feature")
     return sim.nearest_by_sql(spark, one, table)

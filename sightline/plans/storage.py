@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sightline import session
+from sightline import schemas, session
 from sightline.functions import keys, timecodes
 from sightline.operators import cells, documents, lists, project
 from sightline.plans import standins as st
@@ -12,6 +12,7 @@ from sightline.plans.registry import query
 from sightline.plans.scans import DAY_ROWS_SQL, DAY_SQL, EV, day_rows
 from sightline.plans.transforms import BYTE_SUM_SQL, TIE_SQL, UUID_SQL, WH
 from sightline.sinks import indexes, messages, tables
+from sightline.streaming.run import Batch
 
 
 def warehouse(spark, sf):
@@ -20,9 +21,8 @@ def warehouse(spark, sf):
 
 # --- cells -----------------------------------------------------------------------------------
 
-PACKED_SQL = (
-    "yearid || '_' || platenumber || '_' || direction || '_' || colorid || '_' || modelid || '_' || brandid "
-    "|| '_' || levelid || '_' || lastcaptured || '_' || coalesce(cast(issheltered as varchar), 'null') || '_' || solrid"
+PACKED_SQL = " || '_' || ".join(
+    "coalesce(cast(issheltered as varchar), 'null')" if f == "issheltered" else f for f in schemas.PACKED_PASS_FIELDS
 )
 TIE3_SQL = f"lpad(cast({TIE_SQL.format(c='solrid')} as varchar), 3, '0')"
 
@@ -136,7 +136,8 @@ select 'pass' || strftime(o_orderdate, '%Y%m') as index_name, cast(o_orderkey as
     cast(epoch(date_trunc('second', o_orderdate)) as bigint) as version, {DOC_BODY_SQL} as body from orders""")
 def doc_index_monthly(spark, sf):
     path = session.scratch_path(spark, "docs")
-    indexes.write_monthly(_order_docs(spark, sf), path)
+    indexes.write_monthly(_order_docs(spark, sf), Batch("load", 0), path)
+    indexes.compact(spark, path)
     return indexes.read(spark, path)
 
 
@@ -193,16 +194,21 @@ def sink_partitioned_insert(spark, sf):
 
 
 @query("sink_two_level_partition", EV + f"""
-select id, entity, {DAY_SQL} as dateid, category from ev""")
+select id, entity, {DAY_SQL} as dateid, category, true as in_its_folder from ev""")
 def sink_two_level_partition(spark, sf):
     rows = st.passes(spark, sf).select("id", "entity", timecodes.day_of(F.col("capture_time")).alias("dateid"), "category")
     path = session.scratch_path(spark, "two-level")
     tables.append(rows, path, ["dateid", "category"])
-    return spark.read.parquet(path).select("id", "entity", "dateid", "category")
+    folder = F.concat(F.lit("/dateid="), F.col("dateid"), F.lit("/category="), F.col("category"), F.lit("/"))
+    return spark.read.parquet(path).select(
+        "id", "entity", "dateid", "category", F.contains(F.col("_metadata.file_path"), folder).alias("in_its_folder")
+    )
 
 
-@query("sink_gzip_distribute", EV + f"select id, entity, capture_time, dateid, location_id from ({DAY_ROWS_SQL})")
+@query("sink_gzip_distribute", EV + f"""
+select id, entity, capture_time, dateid, location_id, 'gz' as codec from ({DAY_ROWS_SQL})""")
 def sink_gzip_distribute(spark, sf):
     path = session.scratch_path(spark, "gzip")
     tables.append(day_rows(spark, sf), path, ["dateid"], spread_on=["location_id"], compression="gzip")
-    return spark.read.parquet(path).select("id", "entity", "capture_time", "dateid", "location_id")
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z]+)\.parquet$", 1)
+    return spark.read.parquet(path).select("id", "entity", "capture_time", "dateid", "location_id", codec.alias("codec"))

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from sightline import schemas, session
 from sightline.functions import timecodes
-from sightline.operators import decode, enrich, filters
+from sightline.operators import decode, enrich, filters, project
 from sightline.operators.documents import to_documents
 from sightline.plans import standins as st
 from sightline.plans.registry import query
 from sightline.plans.scans import EV
 from sightline.plans.timeline import FOLD, FOLD_SQL, sighting_rows
 from sightline.sinks import indexes, messages, tables
-from sightline.sources import stream
+from sightline.sources import folders, stream
 from sightline.streaming import lastseen, run
 
 
@@ -29,10 +29,27 @@ def _written(spark, df, label):
     return path, df.schema
 
 
-@query("stream_scan", "select event_id, user_id, event_type, value, props from events")
+def by_time(spark, df, seconds, path, parts=5, fmt="parquet"):
+    """Write a feed as files of consecutive time ranges, oldest first; rows of one second stay together.
+
+    One file a batch, such a feed reaches a stream in the order of its times.
+    """
+    at = [i / parts for i in range(1, parts)]
+    cuts = sorted({c for c in df.agg(F.percentile_approx(seconds, at).alias("c")).first().c or []})
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = df if low is None else df.filter(F.col(seconds) > low)
+        part = part if high is None else part.filter(F.col(seconds) <= high)
+        if low is None:
+            part = part if high is None else df.filter((F.col(seconds) <= high) | F.col(seconds).isNull())
+        rows = part.drop(seconds) if fmt == "text" else part
+        rows.coalesce(1).write.mode("append").format(fmt).save(path)
+    return path
+
+
+@query("stream_scan", "select event_id, ts, user_id, event_type, value, props from events")
 def stream_scan(spark, sf):
     root = session.scratch_path(spark, "stream-scan")
-    source = _table_stream(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    source = _table_stream(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     run.drain(run.to_files(source, f"{root}/out", f"{root}/ckpt"))
     return spark.read.schema(source.schema).parquet(f"{root}/out")
 
@@ -55,10 +72,37 @@ def stream_union(spark, sf):
 @query("last_seen_stream", FOLD + "select * from deltas")
 def last_seen_stream(spark, sf):
     root = session.scratch_path(spark, "last-seen")
-    path, schema = _written(spark, sighting_rows(spark, sf), "sightings")
-    writers = {"deltas": lambda df, b: tables.write_batch(df, b, f"{root}/out")}
-    handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state"), writers)
-    run.drain(run.by_batch(stream.files(spark, path, schema), handle, f"{root}/ckpt"))
+    return _last_seen_over(spark, root, {f"{root}/c": by_time(spark, sighting_rows(spark, sf), "capture_time", f"{root}/in")})
+
+
+def _last_seen_over(spark, root, feeds):
+    """Drain feeds (checkpoint: folder), one file a batch, into one sink over one state table."""
+    schema = "id bigint, entity string, capture_time bigint"
+    for checkpoint, path in feeds.items():
+        writers = {"deltas": lambda df, b: tables.write_batch(df, b, f"{root}/out", unique=["id"])}
+        handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state", full_every=3), writers)
+        run.drain(run.by_batch(stream.files(spark, path, schema, max_files=1), handle, checkpoint))
+    return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
+
+
+@query("replay_fresh_checkpoint", FOLD + "select * from deltas")
+def replay_fresh_checkpoint(spark, sf):
+    """The feed in two halves under two checkpoints: the state goes on and the sink keeps both."""
+    root = session.scratch_path(spark, "fresh-checkpoint")
+    rows = sighting_rows(spark, sf)
+    middle = rows.agg(F.percentile_approx("capture_time", 0.5).alias("m")).first().m
+    halves = {"old": rows.filter(F.col("capture_time") <= middle), "new": rows.filter(F.col("capture_time") > middle)}
+    feeds = {f"{root}/c-{n}": by_time(spark, half, "capture_time", f"{root}/{n}", 3) for n, half in halves.items()}
+    return _last_seen_over(spark, root, feeds)
+
+
+@query("last_seen_state_store", FOLD + "select * from deltas")
+def last_seen_state_store(spark, sf):
+    """The same with the state in Spark's state store."""
+    root = session.scratch_path(spark, "state-store")
+    path = by_time(spark, sighting_rows(spark, sf), "capture_time", f"{root}/in")
+    source = stream.files(spark, path, "id bigint, entity string, capture_time bigint", max_files=1)
+    run.drain(run.to_files(lastseen.last_seen_stream(source), f"{root}/out", f"{root}/ckpt"))
     return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
 
 
@@ -86,47 +130,93 @@ def multi_sink_counts(spark, sf):
     return stream.union(counted)
 
 
-TWO_STAGE_SQL = st.with_(FOLD_SQL.replace("from ev where", "from ev where category <> 'error' and"), recursive=True) + """
+CLOCK = 1706745600  # what an event without a time to send gets
+
+#: Document field -> SQL over the tables joined in TWO_STAGE_SQL; the others are missing in the feed.
+_GIVEN_SQL = {
+    "id": "ev.id", "yearId": "ev.year_id", "modelId": "coalesce(p_size, -1)",
+    "brandId": "coalesce(cast(split_part(p_brand, '#', 2) as integer), -1)", "plateNumber": "ev.entity",
+    "regionCode": "coalesce(n_nationkey + 100, 0)", "captureTime": "ev.capture_time", "nodeId": "ev.node_id",
+    "partType": "ev.part_type", "plateTypeId": "coalesce(length(r_name), -1)", "plateCategoryId": "ev.part_type",
+    "lastCaptured": "deltas.last_captured", "sendTime": str(CLOCK), "locationId": "ev.location_id",
+}
+
+
+def _body_sql() -> str:
+    kinds, parts = dict(schemas.fields_of(schemas.EVENT_V2)), []
+    for code, field in schemas.DOCUMENT_V2.items():
+        text = kinds[field] == "string"
+        value = _GIVEN_SQL.get(field, "''" if text else "-1")
+        mark = '"' if text else ""
+        parts.append(f"""'"{code}":{mark}' || ({value}) || '{mark}'""")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+TWO_STAGE_SQL = st.with_(FOLD_SQL.replace("from ev where", "from ev where category <> 'error' and"), recursive=True) + f"""
 select 'pass' || strftime(make_timestamp(ev.capture_time * 1000000), '%Y%m') as index_name,
-    cast(ev.id as varchar) as doc_id, ev.capture_time as version,
-    '{"A001":"' || ev.id || '","A006":' || coalesce(cast(split_part(p_brand, '#', 2) as integer), -1)
-    || ',"A007":"' || ev.entity || '","A009":' || ev.capture_time || ',"A016":' || deltas.last_captured || '}' as body
+    cast(ev.id as varchar) as doc_id, ev.capture_time as version, {_body_sql()} as body
 from ev join deltas on ev.id = deltas.id left join part on p_partkey = ev.year_id
+left join nation on 'N' || n_regionkey = ev.node_id and 'L' || n_nationkey = ev.location_id
+left join region on r_regionkey = ev.part_type
 where category <> 'error'"""
 
 
+def _enriched(spark, sf, events):
+    """J1 to J3 over whole format 2 events; an event's part type stands in for its category."""
+    years = st.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("yearId"), F.substring_index("p_brand", "#", -1).cast("int").alias("brandId"),
+        F.col("p_size").alias("modelId"),
+    )
+    places = st.table(spark, sf, "nation").select(
+        F.concat(F.lit("N"), "n_regionkey").alias("nodeId"), F.concat(F.lit("L"), "n_nationkey").alias("locationId"),
+        (F.col("n_nationkey") + 100).cast("int").alias("regionCode"),
+    )
+    kinds = st.table(spark, sf, "region").select(
+        F.col("r_regionkey").cast("int").alias("plateCategoryId"), F.length("r_name").alias("plateTypeId")
+    )
+    rows = events.drop("brandId", "modelId", "regionCode", "plateTypeId").withColumn("plateCategoryId", F.col("partType"))
+    rows = enrich.lookup(rows, years, ["yearId"], {"brandId": -1, "modelId": -1})
+    rows = enrich.lookup(rows, places, ["nodeId", "locationId"], {"regionCode": schemas.UNKNOWN_REGION_V2})
+    return enrich.lookup(rows, kinds, ["plateCategoryId"], {"plateTypeId": -1})
+
+
 @query("two_stage_feed", TWO_STAGE_SQL)
 def two_stage_feed(spark, sf):
     """Lines -> decode, enrich, last-seen -> JSON feed -> decode -> monthly documents.
 
-    Two queries with their own checkpoints, joined by the feed between them.
+    Two queries with their own checkpoints, running at once, joined by the feed between them: whole
+    events go in, whole events are published, all document fields are indexed.
     """
     root = session.scratch_path(spark, "two-stage")
-    lines = session.scratch_path(spark, "lines")
-    st.lines(spark, sf).write.text(lines)
-    dim = st.table(spark, sf, "part").select(
-        F.col("p_partkey").cast("int").alias("yearId"), F.substring_index("p_brand", "#", -1).cast("int").alias("brand")
-    )
-    source = stream.files(spark, lines, "value string", fmt="text")
-    events = decode.valid(decode.decode_json(source, schemas.EVENT_V2))
-    slim = events.select("id", "plateNumber", "captureTime", "yearId")
-    rich = enrich.lookup(slim, dim, ["yearId"], {"brand": -1}, unique=True)
-    publish = {"feed": lambda df, b: tables.write_batch(messages.as_json(df), b, f"{root}/feed", fmt="text")}
+    lines = st.lines(spark, sf).withColumn("_at", F.get_json_object("value", "$.captureTime").cast("bigint"))
+    # a line that is cut off has a time only its text tells
+    lines = lines.withColumn("_at", F.coalesce("_at", F.regexp_extract("value", '"captureTime":([0-9]+)', 1).cast("bigint")))
+    source = stream.files(spark, by_time(spark, lines, "_at", f"{root}/lines", fmt="text"), "value string", fmt="text", max_files=1)
+    events = decode.valid(decode.decode_json(source, schemas.EVENT_V2)).drop("value")
+    fields = [name for name, _ in schemas.fields_of(schemas.EVENT_V2)]
+    clock = F.timestamp_seconds(F.lit(CLOCK))
+
+    def republish(deltas, batch):
+        whole = project.default_nulls(deltas.select(*fields), now=clock)
+        tables.write_batch(messages.as_json(whole), batch, f"{root}/feed", fmt="text")
+
     seen = lastseen.last_seen_batches(
-        lastseen.StateTable(f"{root}/state"), publish, "plateNumber", "captureTime", "id", result="lastCaptured"
+        lastseen.StateTable(f"{root}/state"), {"feed": republish}, "plateNumber", "captureTime", "id", result="lastCaptured"
     )
-    run.drain(run.by_batch(rich.withColumnRenamed("brand", "brandId"), seen, f"{root}/c1"))
 
-    def index(batch, batch_id):
-        coded = batch.select(
-            F.col("id").alias("A001"), F.col("brandId").alias("A006"), F.col("plateNumber").alias("A007"),
-            F.col("captureTime").alias("A009"), F.col("lastCaptured").alias("A016"),
-        )
+    def index(rows, batch):
+        coded = project.coded(rows, schemas.DOCUMENT_V2)
         name = F.concat(F.lit("pass"), timecodes.month_tag(F.col("A009")))
-        docs = to_documents(coded, "A001", name, F.col("A009"), coded.columns)
-        tables.write_batch(docs, batch_id, f"{root}/docs", ["index_name"])
+        indexes.write_monthly(to_documents(coded, "A001", name, F.col("A009"), coded.columns), batch, f"{root}/docs")
 
-    feed = stream.files(spark, f"{root}/feed", "value string", fmt="text")
+    folders.make(spark, f"{root}/feed")
+    first = run.by_batch(_enriched(spark, sf, events.drop("lastCaptured")), seen, f"{root}/c1")
+    feed = stream.files(spark, f"{root}/feed", "value string", fmt="text", recursive=True)
     again = decode.valid(decode.decode_json(feed, schemas.EVENT_V2))
-    run.drain(run.for_each(again, {"documents": index}, f"{root}/c2"))
+    second = run.for_each(again, {"documents": index}, f"{root}/c2", every="1 second")
+    try:
+        run.drain(first)
+        second.processAllAvailable()
+    finally:
+        second.stop()
     return indexes.read(spark, f"{root}/docs")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sightline import schemas
 from sightline.functions import timecodes
 from sightline.operators import asof, filters, lastseen
 from sightline.plans import standins as st
@@ -30,6 +31,7 @@ deltas as (select ev.id, ev.entity, ev.capture_time, coalesce(walk.last_captured
     from ev left join walk on ev.id = walk.id)
 """
 FOLD = st.with_(FOLD_SQL, recursive=True)
+FOLD_V1 = FOLD.replace("43200", "720")
 
 
 def sighting_rows(spark, sf):
@@ -41,6 +43,13 @@ def last_seen_fold(spark, sf):
     return lastseen.last_seen(sighting_rows(spark, sf)).select("id", "entity", "capture_time", "last_captured")
 
 
+@query("last_seen_fold_v1", FOLD_V1 + "select * from deltas")
+def last_seen_fold_v1(spark, sf):
+    """With the threshold of the first feed."""
+    rows = lastseen.last_seen(sighting_rows(spark, sf), threshold=schemas.SUPPRESS_SECONDS_V1)
+    return rows.select("id", "entity", "capture_time", "last_captured")
+
+
 @query("last_seen_lag", EV + """
 select id, entity, capture_time, coalesce(capture_time
     - lag(capture_time) over (partition by entity order by capture_time, id), 1) as last_captured from ev""")
@@ -83,6 +92,22 @@ def late_classify(spark, sf):
     return _arrivals(spark, sf).withColumn("lateness", asof.late_class(F.col("delta"), LATE_DAYS))
 
 
+@query("late_neighbours", st.with_(ARRIVALS_SQL) + f""",
+named as (select id, 'E' || lpad(cast(entity as varchar), 7, '0') as entity, capture_time,
+    case when delta > -{LATE_DAYS} then delta else -1 end as delta from arrived),
+nxt as (select e.id, min(n.capture_time) as next_time
+    from named e join named n on n.entity = e.entity and n.capture_time > e.capture_time
+    where e.delta < 0 and e.id in (select id from arrived where delta > -{LATE_DAYS}) group by 1)
+select e.id, e.entity, e.capture_time, e.delta, n.id as next_id, x.next_time
+from named e left join nxt x on x.id = e.id
+left join (select entity, capture_time, min(id) as id from named group by 1, 2) n
+    on n.entity = e.entity and n.capture_time = x.next_time""")
+def late_neighbours(spark, sf):
+    rows = _arrivals(spark, sf).withColumn("entity", F.concat(F.lit("E"), F.lpad(F.col("entity").cast("string"), 7, "0")))
+    found = asof.late_neighbours(rows, rows, delta="delta", limit=LATE_DAYS)
+    return found.select("id", "entity", "capture_time", "delta", "next_id", "next_time")
+
+
 @query("route_by_delta", st.with_(ARRIVALS_SQL) + """
 select *, case when delta > 0 then 'advance' when delta = 0 then 'state' when delta < -60 then 'history'
     else 'keep' end as route from arrived""")

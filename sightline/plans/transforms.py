@@ -190,7 +190,7 @@ def json_decode(spark, sf):
 
 @query("json_quarantine", st.with_(st.PASSES_SQL, st.LINES_SQL) + """
 select value from lines where category = 'error'
-union all select text as value from conversations where length(trim(text)) > 0""")
+union all select text as value from conversations where text <> ''""")
 def json_quarantine(spark, sf):
     talk = st.table(spark, sf, "conversations").select(F.col("text").alias("value"))
     lines = st.lines(spark, sf).unionByName(talk)
@@ -200,10 +200,10 @@ def json_quarantine(spark, sf):
 @query("filter_nonblank", """
 select id, value from (select event_id as id,
     case event_type when 'signup' then '' when 'view' then '   ' else props end as value from events)
-where length(trim(value)) > 0""")
+where value <> ''""")
 def filter_nonblank(spark, sf):
     kind = F.col("event_type")
-    return decode.nonblank(
+    return decode.nonempty(
         st.table(spark, sf, "events").select(
             F.col("event_id").alias("id"),
             F.when(kind == "signup", "").when(kind == "view", "   ").otherwise(F.col("props")).alias("value"),
@@ -299,6 +299,19 @@ def _defaults_sql() -> str:
 
 @query("default_nulls", EV + f"select {_defaults_sql()} from ev")
 def default_nulls(spark, sf):
+    return _defaulted(spark, sf)
+
+
+def _coded_v2_sql() -> str:
+    return ", ".join(f"{field} as {code}" for code, field in schemas.ROW_STORE_V2.items())
+
+
+@query("project_coded_v2", EV + f", full_rows as (select {_defaults_sql()} from ev) select {_coded_v2_sql()} from full_rows")
+def project_coded_v2(spark, sf):
+    return project.coded(_defaulted(spark, sf), schemas.ROW_STORE_V2)
+
+
+def _defaulted(spark, sf):
     rows = st.passes(spark, sf)
     given = rows.select(
         F.col("id").cast("string").alias("id"), F.col("entity").alias("plateNumber"),

@@ -60,13 +60,13 @@ WAREHOUSE_FIELDS = {
     "direction": "directionId",
 }
 
-# The column list the two index builders read, in their order.
+# --- fixed values: the column list the two index builders read, in their order.
 INDEX_COLUMNS = [
     "dateid", "recfeature", "yearid", "platenumber", "solrid", "capturetime", "direction",
     "colorid", "modelid", "brandid", "levelid", "locationid", "lastcaptured", "issheltered",
 ]
 
-# The fields packed into one location-time cell, in their order.
+# --- fixed values: the fields packed into one location-time cell, in their order.
 PACKED_PASS_FIELDS = [
     "yearid", "platenumber", "direction", "colorid", "modelid", "brandid", "levelid",
     "lastcaptured", "issheltered", "solrid",

@@ -1,23 +1,57 @@
-"""Document indexes as tables."""
+"""Document indexes as tables, partitioned by index."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline import schemas
+from sightline import schemas, session
 from sightline.operators import documents
+from sightline.sinks import tables
+from sightline.sources import folders
+from sightline.streaming.run import Batch
 
+#: Where a compacted index keeps its rows beside the batches that came since.
+COMPACTED = "run_id=compacted"
 
-def write_monthly(docs: DataFrame, path: str) -> None:
-    """Documents partitioned by index, in files of at most one bulk request's documents."""
-    (
-        docs.hint("rebalance", "index_name").write.mode("append").partitionBy("index_name")
-        .option("maxRecordsPerFile", schemas.DOCUMENTS_PER_FILE).parquet(path)
-    )
+
+def write_monthly(docs: DataFrame, batch: Batch, path: str) -> None:
+    """One document per id, in files of at most one bulk request's documents, as the batch's own."""
+    rows = documents.upsert(docs)
+    before = rows.sparkSession.conf.get("spark.sql.files.maxRecordsPerFile")
+    rows.sparkSession.conf.set("spark.sql.files.maxRecordsPerFile", schemas.DOCUMENTS_PER_FILE)
+    try:
+        tables.write_batch(rows, batch, path, ["index_name"])
+    finally:
+        rows.sparkSession.conf.set("spark.sql.files.maxRecordsPerFile", before)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The index as a reader sees it: one document per id, whatever was sent twice."""
+    """The index as a reader sees it: one document per id, whatever was sent twice.
+
+    An index that has been compacted and got nothing since is read as it is.
+    """
     stored = spark.read.parquet(path).withColumn("index_name", F.col("index_name").cast("string"))
-    return documents.upsert(stored)
+    rows = stored.select("index_name", "doc_id", "version", "body")
+    runs = [n for n in folders.names(spark, path) if n.startswith("run_id=")]
+    return rows if runs == [COMPACTED] else documents.upsert(rows)
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Rewrite the index as one document per id and remove the batches it was made of.
+
+    No stream may write meanwhile. The rows are staged first; a run that is cut off leaves either
+    the batches or, beside some of them, the whole compacted index, and both read alike.
+    """
+    path = path.rstrip("/")
+    old = [n for n in folders.names(spark, path) if n.startswith("run_id=") and n != COMPACTED]
+    if not old:
+        return
+    staging = session.scratch_path(spark, "index")
+    read(spark, path).hint("rebalance", "index_name").write.partitionBy("index_name").parquet(staging)
+    staged = spark.read.parquet(staging).withColumn("index_name", F.col("index_name").cast("string"))
+    staged.hint("rebalance", "index_name").write.mode("overwrite").option(
+        "maxRecordsPerFile", schemas.DOCUMENTS_PER_FILE
+    ).partitionBy("index_name").parquet(f"{path}/{COMPACTED}/batch_id=0")
+    for name in old:
+        folders.remove(spark, f"{path}/{name}")

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightline.sources import folders
+from sightline.streaming.run import Batch
+
 
 def append(
     df: DataFrame,
@@ -28,17 +31,45 @@ def append(
     writer.parquet(path)
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str, by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """Write a micro-batch so that writing it again replaces it.
+def write_batch(
+    df: DataFrame, batch: Batch, path: str, by: list[str] | None = None, fmt: str = "parquet",
+    unique: list[str] | None = None,
+) -> None:
+    """Write a micro-batch into a folder of its own, ``run_id=…/batch_id=…``.
 
-    The batch number is the first partition level: a replayed batch overwrites its own folder
-    and nothing else.
+    A batch that has been written is left alone, so a replay adds nothing and a reader's files stay;
+    one whose write was cut off is written anew. Other runs' rows are never touched. A new run over
+    rows that an earlier one has written, whatever its batches were, adds only those whose
+    ``unique`` columns no other run has; without ``unique`` it adds all of them.
     """
+    spark, path = df.sparkSession, path.rstrip("/")
+    target = f"{path}/run_id={batch.run}/batch_id={batch.number}"
+    if folders.exists(spark, f"{target}/_SUCCESS"):
+        return
+    others = [n for n in folders.names(spark, path) if n.startswith("run_id=") and n != f"run_id={batch.run}"]
+    if unique and others:
+        stored = spark.read.format(fmt).schema(df.schema).option("basePath", path).load([f"{path}/{n}" for n in others])
+        df = df.join(stored.select(*unique).distinct(), unique, "left_anti").select(*df.columns)
     rows = df.hint("rebalance", *by) if by else df
     writer = rows.write.mode("overwrite").format(fmt)
     if by:
         writer = writer.partitionBy(*by)
-    writer.save(f"{path.rstrip('/')}/batch_id={batch_id}")
+    writer.save(target)
+
+
+def merge_batches(spark: SparkSession, path: str, runs: list[str], into: str, by: list[str] | None = None) -> None:
+    """Rewrite finished runs' small batch folders as one folder, ``run_id={into}/batch_id=0``.
+
+    The runs must have ended. Their folders are removed after the merged one is complete; if that is
+    cut off, merging again first finds the merged folder and only removes.
+    """
+    path = path.rstrip("/")
+    sources = [f"{path}/run_id={r}" for r in runs if folders.exists(spark, f"{path}/run_id={r}")]
+    if sources and not folders.exists(spark, f"{path}/run_id={into}/batch_id=0/_SUCCESS"):
+        rows = spark.read.option("basePath", path).parquet(*sources).drop("run_id", "batch_id")
+        write_batch(rows, Batch(into, 0), path, by)
+    for source in sources:
+        folders.remove(spark, source)
 
 
 def create(spark: SparkSession, name: str, like: DataFrame, path: str, by: list[str]) -> str:

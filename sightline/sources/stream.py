@@ -1,7 +1,8 @@
 """Streaming scans. Positions live in the query's checkpoint.
 
 A restarted query goes on where its checkpoint stands; only the first run looks at the start
-position. Every reader has an admission limit, so a backlog is read in batches of bounded size.
+position. Readers can be given an admission limit, so that a backlog comes in several batches; without
+one a batch is all there is.
 """
 
 from __future__ import annotations
@@ -18,13 +19,18 @@ def files(
     schema,
     fmt: str = "parquet",
     glob: str | None = None,
-    max_files: int | None = 1000,
+    max_files: int | None = None,
     max_bytes: str | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Files of a folder as they arrive, at most ``max_files`` or ``max_bytes`` per batch."""
+    """Files of a folder as they arrive, oldest first; at most ``max_files`` or ``max_bytes`` per batch if given.
+
+    ``recursive`` takes the files of all folders below and none of their names as columns."""
     reader = spark.readStream.schema(schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files:
@@ -37,7 +43,7 @@ def topic(
     servers: str,
     name: str,
     start: str = "latest",
-    max_offsets: int = 1_000_000,
+    max_offsets: int | None = None,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """A Kafka topic as a column ``value STRING`` (needs the connector on the class path).
@@ -51,8 +57,9 @@ def topic(
         .option("subscribe", name)
         .option("startingOffsets", start)
         .option("failOnDataLoss", "false")
-        .option("maxOffsetsPerTrigger", max_offsets)
     )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     if min_partitions:
         reader = reader.option("minPartitions", min_partitions)
     return reader.load().selectExpr("cast(value as string) as value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
@@ -13,10 +13,8 @@ from pyspark.sql.streaming.state import GroupState
 from sightline import schemas
 from sightline.operators import lastseen
 from sightline.operators.lastseen import SUPPRESSED, step, tracked_key
-from sightline.streaming.run import Writer
-
-#: Untracked rows have no state; they are spread over this many groups instead of one.
-SPREAD = 64
+from sightline.sources import folders
+from sightline.streaming.run import Batch, Writer
 
 
 def _update(threshold: int, seconds: str, row_id: str, result: str, columns: list[str]):
@@ -56,7 +54,9 @@ def last_seen_stream(
     behind an admission limit. ``last_seen_batches`` has no such bound.
     """
     key = tracked_key(rows, entity, seconds, valid)
-    spread = F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(SPREAD))).otherwise(F.lit(0))
+    # untracked rows have no state: they make as many groups as there are shuffle partitions
+    groups = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(groups))).otherwise(F.lit(0))
     output = T.StructType(list(rows.schema.fields) + [T.StructField(result, T.LongType())])
     keyed = rows.withColumns({"_entity": key, "_spread": spread.cast("int")})
     return (
@@ -69,33 +69,74 @@ def last_seen_stream(
 
 
 class StateTable:
-    """The entities' state as a table of batches in the shared folder.
+    """The entities' state as a table of versions in the shared folder, cut into hash buckets.
+
+    Every handled batch commits one version: the entities that moved, or, every ``full_every``-th
+    time, all of them. A version belongs to a batch of a run, so handling that batch again reads the
+    versions before it and writes the same; any other batch, of this run or a new one, goes on from
+    the last version. One query at a time may write.
 
-    Batch ``n`` writes the entities that moved, and every ``full_every``-th batch the whole
-    state, so reading it needs the batches since the last whole one. What batch ``n`` reads and
-    writes follows from ``n`` alone: running it again gives the same.
+    A commit is the folder ``commits/version=…/run=…/number=…``, made after the rows are complete.
     """
 
-    def __init__(self, path: str, full_every: int = 50):
-        self.path, self.full_every = path.rstrip("/"), full_every
+    def __init__(self, path: str, full_every: int = 50, buckets: int = 64):
+        self.path, self.full_every, self.buckets = path.rstrip("/"), full_every, buckets
+
+    def _bucket(self, entity: str = "entity") -> Column:
+        return F.pmod(F.xxhash64(entity), F.lit(self.buckets)).cast("int")
 
-    def before(self, like: DataFrame, batch_id: int) -> DataFrame:
-        """The state (entity, id, ct, lt) that batch ``batch_id`` starts from."""
-        schema = T.StructType(list(like.schema.fields))
+    def _versions(self, spark: SparkSession) -> list[int]:
+        return sorted(int(n.split("=")[1]) for n in folders.names(spark, f"{self.path}/commits"))
+
+    def version_of(self, spark: SparkSession, batch: Batch) -> int:
+        """The version that a batch has committed, or the next one."""
+        versions = self._versions(spark)
+        for version in reversed(versions):
+            if folders.exists(spark, f"{self.path}/commits/version={version}/run={batch.run}/number={batch.number}"):
+                return version
+        return versions[-1] + 1 if versions else 0
+
+    def _stored(self, like: DataFrame, version: int) -> DataFrame | None:
+        """Rows of the versions that the state before ``version`` consists of; only their folders are listed."""
         spark = like.sparkSession
-        if batch_id == 0:
-            return spark.createDataFrame([], schema)
-        base = (batch_id - 1) // self.full_every * self.full_every
-        stored = spark.read.schema(schema.add("batch_id", T.LongType())).parquet(self.path)
-        newest = (
-            stored.filter(F.col("batch_id").between(base, batch_id - 1))
-            .groupBy("entity").agg(F.max(F.struct("batch_id", "ct", "id", "lt")).alias("s"))
-        )
+        base = (version - 1) // self.full_every * self.full_every
+        parts = [f"{self.path}/data/version={v}" for v in self._versions(spark) if base <= v < version]
+        if not parts:
+            return None
+        schema = T.StructType([*like.schema.fields, T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*parts)
+
+    @staticmethod
+    def _newest(stored: DataFrame) -> DataFrame:
+        newest = stored.groupBy("entity").agg(F.max(F.struct("version", "ct", "id", "lt")).alias("s"))
         return newest.select("entity", "s.id", "s.ct", "s.lt")
 
-    def write(self, before: DataFrame, moved: DataFrame, batch_id: int) -> None:
-        rows = lastseen.merge_state(before, moved) if batch_id % self.full_every == 0 else moved
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def before(self, like: DataFrame, version: int, entities: DataFrame | None = None) -> DataFrame:
+        """The state (entity, id, ct, lt) before a version; of the given entities (entity) only.
+
+        Their buckets are all that is read, and the rest is dropped before anything is grouped.
+        """
+        stored = self._stored(like, version)
+        if stored is None:
+            return like.sparkSession.createDataFrame([], like.schema)
+        if entities is not None:
+            wanted = [r.b for r in entities.select(self._bucket().alias("b")).distinct().collect()]
+            stored = stored.filter(F.col("bucket").isin(wanted)).join(entities, "entity", "left_semi")
+        return self._newest(stored)
+
+    def write(self, moved: DataFrame, version: int, batch: Batch) -> None:
+        """Commit the entities that a batch has moved, and drop what no later batch can need."""
+        spark, full = moved.sparkSession, version % self.full_every == 0
+        rows = lastseen.merge_state(self.before(moved, version), moved) if full else moved
+        rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{self.path}/data/version={version}")
+        folders.make(spark, f"{self.path}/commits/version={version}/run={batch.run}/number={batch.number}")
+        if full:
+            for old in self._versions(spark):
+                if old < version - self.full_every:
+                    folders.remove(spark, f"{self.path}/commits/version={old}")
+                    folders.remove(spark, f"{self.path}/data/version={old}")
 
 
 def last_seen_batches(
@@ -110,22 +151,26 @@ def last_seen_batches(
     """A ``foreachBatch`` handler: batch deltas against the state table, then the writers.
 
     The work is that of the batch operator, so neither the batch nor an entity's share of it is
-    bounded. The deltas are persisted: the state and every writer see the same ones.
+    bounded; of the state only the batch's own entities are read. The deltas are persisted: the
+    state and every writer see the same ones.
     """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+    def handle(rows: DataFrame, batch: Batch) -> None:
+        rows = rows.persist()
         like = rows.select(
             F.col(entity).alias("entity"), F.col(row_id).alias("id"),
             F.col(seconds).alias("ct"), F.lit(0).cast("bigint").alias("lt"),
         )
-        before = state.before(like, batch_id)
+        version = state.version_of(rows.sparkSession, batch)
+        key = tracked_key(rows, entity, seconds)
+        entities = rows.select(key.alias("entity")).filter("entity is not null").distinct()
+        before = state.before(like, version, entities)
         deltas = lastseen.last_seen(
             rows, entity, seconds, row_id, threshold, state=before, result=result
         ).persist()
         try:
             for write in writers.values():
-                write(deltas, batch_id)
-            state.write(before, lastseen.state_table(deltas, entity, seconds, row_id, result), batch_id)
+                write(deltas, batch)
+            state.write(lastseen.state_table(deltas, entity, seconds, row_id, result), version, batch)
         finally:
             deltas.unpersist()
             rows.unpersist()

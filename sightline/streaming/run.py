@@ -1,17 +1,32 @@
 """Starting queries.
 
 Progress is committed after a batch's writes, so a batch may run twice. Every sink here is
-either Spark's own file sink, which notices, or replaces what the same batch wrote before.
+either Spark's own file sink, which notices, or leaves alone what the same batch has written.
+A batch is known by its run, the id that the checkpoint gave the query, and its number there: a
+restarted query goes on under its id, a new checkpoint is another run and numbers from 0.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-Writer = Callable[[DataFrame, int], None]
+
+class Batch(NamedTuple):
+    run: str
+    number: int
+
+
+Writer = Callable[[DataFrame, Batch], None]
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a checkpoint gave its query; it stays the same over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
 
 
 def _trigger(writer, every: str | None):
@@ -47,21 +62,28 @@ def for_each(
 
 
 def by_batch(stream: DataFrame, handle: Writer, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    known: list[str] = []
+
+    def named(batch: DataFrame, number: int) -> None:
+        if not known:
+            known.append(run_id(batch.sparkSession, checkpoint))
+        handle(batch, Batch(known[0], number))
+
     return _trigger(
-        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint), every
+        stream.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint), every
     ).start()
 
 
 def fan_out(writers: dict[str, Writer]) -> Writer:
     """One batch, persisted once, given to each writer; an empty batch writes nothing."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+    def handle(rows: DataFrame, batch: Batch) -> None:
+        rows = rows.persist()
         try:
-            if not batch.isEmpty():
+            if not rows.isEmpty():
                 for write in writers.values():
-                    write(batch, batch_id)
+                    write(rows, batch)
         finally:
-            batch.unpersist()
+            rows.unpersist()
     return handle
 
 

@@ -23,7 +23,8 @@ def test_valid_and_quarantine_partition_the_lines(spark):
     decoded = decode.decode_json(lines(spark), schemas.EVENT_V2)
     good = decode.valid(decoded).collect()
     bad = [r.value for r in decode.quarantine(decoded).collect()]
-    assert sorted(bad) == sorted([LINES[2], LINES[3], "plain text", "null", "12", '[{"id":"5"}]'])
+    assert sorted(bad) == sorted([LINES[2], LINES[3], "plain text", "null", "12", '[{"id":"5"}]', "   ", ""])
+    assert len(good) + len(bad) + LINES.count("") == len(LINES)
     by_id = {r.id: r for r in good}
     assert set(by_id) == {"1", "2", None}
     assert (by_id["1"].captureTime, by_id["1"].yearId, by_id["1"].yearIdProb) == (10, 7, 0.5)

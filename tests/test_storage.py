@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators import cells, documents, lists
 from sightline.sinks import indexes, messages, tables
+from sightline.streaming.run import Batch
 
 
 def test_cells_latest_and_all_versions(spark):
@@ -37,8 +38,13 @@ def test_list_positions_of_a_hot_key(spark):
 def test_documents_upsert_and_patch(spark, folder):
     rows = spark.createDataFrame([("1", 3, "old"), ("1", 5, "new"), ("2", 1, None)], "id string, v bigint, name string")
     docs = documents.to_documents(rows, "id", F.lit("pass201609"), F.col("v"), ["id", "name"])
-    indexes.write_monthly(docs, folder)
-    indexes.write_monthly(docs, folder)  # sent twice
+    indexes.write_monthly(docs, Batch("a", 0), folder)
+    indexes.write_monthly(docs, Batch("a", 1), folder)  # sent twice
+    before = sorted(map(tuple, indexes.read(spark, folder).collect()))
+    indexes.compact(spark, folder)
+    compacted = indexes.read(spark, folder)
+    assert sorted(map(tuple, compacted.collect())) == before
+    assert "Aggregate" not in compacted._jdf.queryExecution().executedPlan().toString()
     out = {r.doc_id: r.body for r in indexes.read(spark, folder).collect()}
     assert out == {"1": '{"id":"1","name":"new"}', "2": '{"id":"2"}'}
 

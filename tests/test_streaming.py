@@ -1,10 +1,14 @@
 """Replays, fan-out, unions and chained queries."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from sightline.operators import aggregates
+from sightline.operators import lastseen as operators_lastseen
+from sightline.plans import streams
 from sightline.sinks import tables
-from sightline.sources import batch, stream
+from sightline.sources import batch, folders, stream
 from sightline.streaming import lastseen, run
 
 SCHEMA = "id bigint, day int"
@@ -51,11 +55,109 @@ def test_batch_failing_after_its_first_write_is_replayed_without_copies(spark, f
 def test_fresh_checkpoint_over_the_same_sink(spark, folder):
     feed(spark, f"{folder}/in", 0, 30)
     for n in range(2):
-        writers = {"rows": lambda df, b: tables.write_batch(df, b, f"{folder}/out", ["day"])}
+        writers = {"rows": lambda df, b: tables.write_batch(df, b, f"{folder}/out", ["day"], unique=["id"])}
         run.drain(run.for_each(stream.files(spark, f"{folder}/in", SCHEMA), writers, f"{folder}/ckpt{n}"))
     assert counts(spark, f"{folder}/out") == {i: 1 for i in range(30)}
 
 
+def drain_rows(spark, folder, feed_name, checkpoint, max_files=None, unique=None):
+    writers = {"rows": lambda df, b: tables.write_batch(df, b, f"{folder}/out", ["day"], unique=unique)}
+    source = stream.files(spark, f"{folder}/{feed_name}", SCHEMA, max_files=max_files)
+    run.drain(run.for_each(source, writers, f"{folder}/{checkpoint}"))
+
+
+def test_new_rows_under_a_new_checkpoint_are_kept_beside_the_old(spark, folder):
+    feed(spark, f"{folder}/one", 0, 10)
+    feed(spark, f"{folder}/two", 10, 20)
+    drain_rows(spark, folder, "one", "c1")
+    drain_rows(spark, folder, "two", "c2")
+    assert counts(spark, f"{folder}/out") == {i: 1 for i in range(20)}
+
+
+def test_other_batches_of_the_same_rows_neither_lose_nor_copy(spark, folder):
+    for i in range(4):
+        feed(spark, f"{folder}/in", i * 10, i * 10 + 10)
+    drain_rows(spark, folder, "in", "c1", max_files=1, unique=["id"])
+    feed(spark, f"{folder}/in", 40, 50)
+    drain_rows(spark, folder, "in", "c2", max_files=3, unique=["id"])
+    assert counts(spark, f"{folder}/out") == {i: 1 for i in range(50)}
+
+
+def test_a_finished_batch_is_not_rewritten(spark, folder):
+    rows, batch = spark.range(3), run.Batch("r", 0)
+    tables.write_batch(rows, batch, folder)
+    files = spark.read.parquet(folder).inputFiles()
+    tables.write_batch(rows, batch, folder)
+    assert spark.read.parquet(folder).inputFiles() == files
+
+
+def test_batch_folders_of_finished_runs_are_merged(spark, folder):
+    for i in range(3):
+        tables.write_batch(spark.range(i * 5, i * 5 + 5).withColumn("day", F.lit(i)), run.Batch("r", i), folder, ["day"])
+    for _ in range(2):
+        tables.merge_batches(spark, folder, ["r"], "merged", ["day"])
+        assert counts(spark, folder) == {i: 1 for i in range(15)}
+    assert folders.names(spark, folder) == ["run_id=merged"]
+
+
+SIGHTINGS = "id bigint, entity string, capture_time bigint"
+
+
+def seen(spark, folder, rows, checkpoint, name="in"):
+    df = spark.createDataFrame(rows, SIGHTINGS)
+    df.coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+    writers = {"d": lambda d, b: tables.write_batch(d, b, f"{folder}/out")}
+    handle = lastseen.last_seen_batches(lastseen.StateTable(f"{folder}/state", full_every=2), writers)
+    run.drain(run.by_batch(stream.files(spark, f"{folder}/{name}", SIGHTINGS, max_files=1), handle, f"{folder}/{checkpoint}"))
+    return {r.id: r.last_captured for r in spark.read.parquet(f"{folder}/out").collect()}
+
+
+def test_the_state_goes_on_under_a_new_checkpoint(spark, folder):
+    assert seen(spark, folder, [(1, "entity1", 1_000_000)], "c1") == {1: 0}
+    assert seen(spark, folder, [(2, "entity1", 1_004_000)], "c2", "in2") == {1: 0, 2: 4000}
+
+
+def test_late_rows_across_batches_follow_the_rule(spark, folder):
+    rng, rows = random.Random(3), []
+    for i in range(120):
+        rows.append((i, f"entity{rng.randrange(4)}", 1_000_000 + rng.randrange(300_000)))
+    for start in range(0, 120, 30):
+        got = seen(spark, folder, rows[start : start + 30], "c1")
+    state, want = {}, {}
+    for start in range(0, 120, 30):
+        for i, e, t in sorted(rows[start : start + 30], key=lambda r: (r[2], r[0])):
+            ct, lt = state.get(e, (0, 0))
+            want[i], *state[e] = operators_lastseen.step(e in state, ct, lt, t, 43_200)
+            state[e] = tuple(state[e])
+    assert got == want
+
+
+def test_the_feed_s_slicing_does_not_change_the_answer(spark, folder):
+    rng = random.Random(5)
+    rows = [(i, f"entity{rng.randrange(9)}", 1_000_000 + rng.randrange(90) * 2000) for i in range(200)]
+    df, answers = spark.createDataFrame(rows, SIGHTINGS), []
+    for parts in (1, 2, 5):
+        at = f"{folder}/{parts}"
+        path = streams.by_time(spark, df, "capture_time", f"{at}/in", parts)
+        found = streams._last_seen_over(spark, at, {f"{at}/c": path})
+        answers.append(sorted(map(tuple, found.collect())))
+    assert answers[0] == answers[1] == answers[2]
+    assert len(answers[0]) == 200
+
+
+def test_only_the_batch_s_entities_are_read_from_the_state(spark, folder):
+    state = lastseen.StateTable(folder)
+    stored = spark.range(200_000).select(
+        F.concat(F.lit("e"), "id").alias("entity"), F.col("id"), F.lit(10).cast("bigint").alias("ct"), F.lit(0).cast("bigint").alias("lt")
+    )
+    state.write(stored, 0, run.Batch("r", 0))
+    wanted = spark.range(0, 200_000, 2_000).select(F.concat(F.lit("e"), "id").alias("entity"))
+    before = state.before(stored, 1, wanted)
+    assert before.count() == 100
+    plan = before._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the aggregation is above the semi join
+
+
 def test_admission_limit_makes_several_batches(spark, folder):
     for i in range(3):
         feed(spark, f"{folder}/in", i * 10, i * 10 + 10)
