@@ -60,30 +60,42 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-MATCHES = "array<struct<s:int,e:int,v:string>>"
+MATCHES = "array<struct<s:int,e:int,v:string,before:string,after:string>>"
+#: Matches folded into one array at a time; appending to a long one would copy it each time.
+FOLDED, CONTEXT = 128, 40
 
 
 def find_all(text: Column, pattern: Column) -> Column:
-    """Leftmost non-overlapping matches: array of (s, e, v), in code points, the end exclusive.
+    """Leftmost non-overlapping matches: array of (s, e, v, before, after).
 
-    The gaps between matches give their places; the pattern must not match the empty text.
+    Places are in code points, the end exclusive; ``before`` has up to CONTEXT characters since the
+    last match, ``after`` the next one. The pattern must not match the empty text.
     """
-    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    lengths = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCHES).alias("found"))
+    gaps = F.split(text, pattern, -1)
+    pieces = F.arrays_zip(
+        gaps.alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("v"), F.slice(gaps, 2, 1 << 30).alias("next")
+    )
 
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
+    def one(acc, x):
+        s = acc["at"] + F.char_length(x["gap"])
         e = s + F.coalesce(F.char_length(x["v"]), F.lit(0))
-        more = F.array_append(acc["found"], F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))
-        return F.struct(e.alias("at"), F.when(x["v"].isNotNull(), more).otherwise(acc["found"]).alias("found"))
+        row = F.struct(
+            s.alias("s"), e.alias("e"), x["v"].alias("v"), F.right(x["gap"], F.lit(CONTEXT)).alias("before"),
+            F.left(x["next"], F.lit(1)).alias("after"),
+        )
+        found = F.when(x["v"].isNotNull(), F.array_append(acc["found"], row)).otherwise(acc["found"])
+        return F.struct(e.alias("at"), found.alias("found"))
 
-    return F.aggregate(lengths, start, step, lambda acc: acc["found"])
+    def some(acc, i):
+        nothing = F.struct(acc["at"].alias("at"), F.array().cast(MATCHES).alias("found"))
+        folded = F.aggregate(F.slice(acc["pieces"], i * FOLDED + 1, F.lit(FOLDED)), nothing, one)
+        return F.transform(F.array(folded), lambda r: F.struct(
+            r["at"].alias("at"), acc["pieces"].alias("pieces"), F.array_append(acc["parts"], r["found"]).alias("parts")
+        ))[0]
 
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    start = F.struct(F.lit(0).alias("at"), pieces.alias("pieces"), F.array().cast(f"array<{MATCHES}>").alias("parts"))
+    rounds = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / FOLDED).cast("int"))
+    return F.aggregate(rounds, start, some, lambda acc: F.flatten(acc["parts"]))
 
 
 def sized(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
@@ -94,7 +106,7 @@ def sized(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame, row_id: str, text: str) -> DataFrame:
     """The rows of ``docs`` that are not in ``gone`` (``row_id``, digest: xxhash64 of the text)."""
     gone = sized(gone.select(F.col(row_id).alias("_gone_id"), F.col("digest").alias("_gone_digest")))
-    same = docs[row_id].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(whole(docs[text])) == F.col("_gone_digest"))
+    same = docs[row_id].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(whole(docs[text])) == gone["_gone_digest"])
     return docs.join(gone, same, "left_anti")
 
 

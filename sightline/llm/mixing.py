@@ -136,8 +136,9 @@ def mixed(docs: DataFrame, text: str = "text", row_id: str = "doc_id", source: s
     seed = options.get("seed", SEED)
     copies = plan(docs, text, row_id, source, **options).groupBy("place").agg(F.max("copies").alias("_copies"))
     copies = common.sized(common.stored(copies.withColumnRenamed("place", "_place"), "mixing-copies"))
-    taken = docs.join(copies, _place(row_id, text, seed) == F.col("_place")).filter("_copies > 0")
-    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _place(row_id, text, seed).alias("place"))
+    taken = rows.join(copies, F.col("place") == F.col("_place")).filter("_copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 @query("op6_temperature_mixing")

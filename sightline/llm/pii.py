@@ -131,9 +131,7 @@ def candidates(text: Column, kind: str) -> Column:
     i = KINDS.index(kind)
 
     def judged(m):
-        before = F.substr(text, F.greatest(m["s"] - 39, F.lit(1)), F.least(m["s"], F.lit(40)))
-        after = F.substr(text, m["e"] + 1, F.lit(1))
-        votes = _votes(kind, m["v"], (before, after))
+        votes = _votes(kind, m["v"], (m["before"], m["after"]))
         size = reduce(lambda a, b: a + b, [(m["e"] - m["s"] > n).cast("int") for n in LENGTHS])
         return F.struct(
             F.lit(i).alias("k"), m["s"].alias("s"), m["e"].alias("e"),

@@ -217,11 +217,13 @@ def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> Dat
     repeated = common.stored(repeated, "simhash-repeated")
     if repeated.isEmpty():
         return left
-    once = left.withColumn("_digest", F.xxhash64(common.whole(text)))
-    again = repeated.select(F.col(row_id).alias("_again"), F.col("digest").alias("_same"))
-    same = F.col(row_id).eqNullSafe(F.col("_again")) & (F.col("_digest") == F.col("_same"))
-    one = once.join(again, same, "left_semi").dropDuplicates([row_id, "_digest"])
-    return once.join(again, same, "left_anti").union(one).drop("_digest")
+    rows = left.select(
+        F.struct(*left.columns).alias("row"), F.col(row_id).alias("id"), F.xxhash64(common.whole(text)).alias("digest")
+    )
+    again = repeated.select(F.col(row_id).alias("again"), F.col("digest").alias("same"))
+    of_those = F.col("id").eqNullSafe(F.col("again")) & (F.col("digest") == F.col("same"))
+    one = rows.join(again, of_those, "left_semi").dropDuplicates(["id", "digest"])
+    return rows.join(again, of_those, "left_anti").union(one).select("row.*")
 
 
 @query("op3_simhash")

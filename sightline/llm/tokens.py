@@ -22,6 +22,7 @@ from tokenizers import Tokenizer
 from sightline import session
 from sightline.llm import common
 from sightline.llm.registry import query
+from sightline.sources import folders
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Context length above which a document is marked, in tokens.
@@ -164,7 +165,7 @@ def token_counts(
         F.col(row_id), common.whole(text).alias("text"),
         F.unhex(F.sha2(common.whole(text), 256)).alias("digest"),
     )
-    if not common.exists(spark, cache):
+    if not folders.exists(spark, cache):
         spark.createDataFrame([], CACHE_SCHEMA).write.mode("ignore").parquet(cache)
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == version)
     misses = content.groupBy("digest").agg(F.first("text").alias("text")).join(known, "digest", "left_anti")
