@@ -140,3 +140,14 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         before = after
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def smallest_ids(nodes: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    """(node, component_id) for ``nodes`` (node, least): the least ``least`` in each one's component.
+
+    ``found`` has (node, component) of the nodes that have links; the others are their own component.
+    """
+    placed = nodes.join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    placed = stored(placed, label)
+    ids = stored(placed.groupBy("component").agg(F.min("least").alias("component_id")), label)
+    return placed.join(ids, "component").select("node", "component_id")

@@ -174,9 +174,8 @@ def near_duplicates(
     precision. n_links counts the other rows linked directly, copies and repeated ids included;
     component_id is the smallest id reachable, the own included; kept says that it is the own. Rows
     with a NULL label, and vectors that are NULL, empty, zero or hold a NULL or non-finite
-    component, link with nothing; vectors of different lengths do not link. A row with a NULL id
-    belongs to its copies' component and is not kept; where all copies' ids are NULL it links with
-    nothing but them. An empty table gives an empty result.
+    component, link with nothing; vectors of different lengths do not link. Rows with NULL ids
+    link like others and are not kept; a component in which all ids are NULL has the id NULL. An empty table gives an empty result.
     """
     rows = vectors.select(
         F.col(row_id).cast("bigint").alias("vec_id"), F.col(label).cast("string").alias("label"),
@@ -188,13 +187,14 @@ def near_duplicates(
         F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False)
     )
     distinct = common.stored(
-        rows.filter(valid).groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("n")), "grid-distinct"
+        rows.filter(valid).groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+        .withColumn("node", F.monotonically_increasing_id()), "grid-distinct"
     )
-    # one space per label and length; a hash spreads ties of the sort over the sequence
-    entered = distinct.filter("node is not null").select(
+    # one space per label and length
+    entered = distinct.select(
         F.concat_ws(":", F.size("v"), "label").alias("space"), "v", "node", "n"
     )
-    sample = entered.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()
+    sample = entered.orderBy(F.xxhash64("v"), "node").limit(SAMPLE).select("v").collect()
     by_size: dict[int, list] = {}
     for row in sample:
         by_size.setdefault(len(row["v"]), []).append(row["v"])
@@ -223,16 +223,15 @@ def near_duplicates(
     found = common.components(
         links.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")), "grid-edges"
     )
-    classes = (
-        distinct.join(counted, "node", "left").join(found, "node", "left")
-        .select("label", "v", F.lit(True).alias("valid"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                F.coalesce("component", "node").alias("component"))
+    ids = common.smallest_ids(distinct.select("node", "least"), found, "grid-components")
+    classes = distinct.join(counted, "node", "left").join(ids, "node").select(
+        "label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"
     )
     classes = common.stored(classes, "grid-classes")
+    own = F.coalesce("component_id", "vec_id")
     return rows.join(classes, ["label", "v"], "left").select(
         F.col("vec_id").alias(row_id), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component", "vec_id").alias("component_id"),
-        F.coalesce(F.coalesce("component", "vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"),
+        own.alias("component_id"), F.coalesce(own == F.col("vec_id"), F.lit(False)).alias("kept"),
     )
 
 

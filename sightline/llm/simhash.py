@@ -168,9 +168,8 @@ def near_duplicates(
     Fingerprints link at ``radius`` or fewer differing bits; component_id is the smallest id that
     can be reached, the row's own included. Texts with fewer words than a shingle are one shingle;
     empty and NULL texts have the fingerprint 0 and link like any other. Repeated ids are rows of
-    their own with the same component if their texts link. A row with a NULL id belongs to its
-    fingerprint's component; where all ids of a fingerprint are NULL it joins nothing and the
-    component is NULL. Whole texts are hashed; an empty table gives an empty result.
+    their own with the same component if their texts link. Rows with NULL ids link like
+    others; a component in which all ids are NULL has the id NULL. Whole texts are hashed; an empty table gives an empty result.
     """
     found = classes(docs, text, row_id, words, radius, limit)
     return found.select(
@@ -187,20 +186,15 @@ def classes(docs: DataFrame, text: str, row_id: str, words: int = WORDS, radius:
         F.col("_id").cast("bigint").alias("doc_id"), "digest", "fp"
     )
     prints = common.stored(prints, "simhash-fingerprints")
-    first = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"), "simhash-first")
+    first = common.stored(prints.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least")), "simhash-first")
     links = []
-    for fps in _shards(first.select("fp"), radius, limit):
+    for fps in _shards(first.select(F.col("node").alias("fp")), radius, limit):
         links.append(common.stored(fps.mapInPandas(_links(radius), "a bigint, b bigint"), "simhash-links", 64))
     pairs = links[0]
     for more in links[1:]:
         pairs = pairs.union(more)
-    pairs = common.stored(pairs.distinct(), "simhash-pairs")
-    named = (
-        pairs.join(first.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a")
-        .join(first.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
-    )
-    found = common.components(named.select(F.col("x").alias("a"), F.col("y").alias("b")), "simhash-edges")
-    named = first.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    found = common.components(pairs, "simhash-edges")
+    named = common.smallest_ids(first, found, "simhash-components").withColumnRenamed("node", "fp")
     return prints.join(common.stored(named, "simhash-classes"), "fp", "left").select("doc_id", "digest", "fp", "component_id")
 
 
