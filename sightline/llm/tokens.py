@@ -64,6 +64,7 @@ class Encoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
         self.stand_ins = {b: 256 + i for i, b in enumerate(others)}
+        self.space = chr(self.stand_ins[32])
         self.marks = {m: self._whole([m])[0] for m in MARKS}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -76,11 +77,13 @@ class Encoder:
         mark = body[-1:] if body[-1:] in self.marks else ""
         if mark:
             body, piece = body[:-1], piece[:-1]
-        if not body.isalpha() or not (body.isascii() or max(body) < "\u0250"):
+        plain = body.isascii()
+        if not body.isalpha() or not (plain or max(body) < "\u0250"):
             return None
-        ids = self.known.get(piece)
+        ids = self.known.get(piece) if mark else None
         if ids is None:
-            units = piece.encode().decode("latin-1").translate(self.stand_ins)
+            # letters of ASCII stand for themselves
+            units = piece.replace(" ", self.space) if plain else piece.encode().decode("latin-1").translate(self.stand_ins)
             ids = array("I", [t.id for t in self.library.model.tokenize(units)]).tobytes()
         return ids + self.marks[mark] if mark else ids
 
