@@ -10,6 +10,7 @@ from sightline.sinks import tables
 from sightline.sources import stream
 from sightline.streaming import lastseen as streaming
 from sightline.streaming import run
+from sightline.streaming import run
 
 SCHEMA = "id bigint, entity string, capture_time bigint"
 T = 1000
@@ -156,7 +157,7 @@ def test_state_table_batch_can_run_again(spark, folder):
     batches = [random_rows(s, n=80, start_id=1000 * s) for s in (1, 2, 3)]
     for b, rows in enumerate(batches):
         for _ in range(2):
-            handle(spark.createDataFrame(rows, SCHEMA), b)
+            handle(spark.createDataFrame(rows, SCHEMA), run.Batch("r", b))
     out, n = got(spark.read.parquet(f"{folder}/out"))
     assert n == 240
     assert out == simulate(batches)[0]
