@@ -25,6 +25,8 @@ from sightline.llm import common
 from sightline.llm.registry import query
 
 WORDS, RADIUS, SEED, BITS = 3, 2, 42, 64
+#: What makes one document go; 3 of 64 bits is the usual width for near copies (Manku et al. 2007).
+KEEP_RADIUS = 3
 #: Most fingerprints in one tree.
 SHARD = 4000
 
@@ -198,13 +200,13 @@ def classes(docs: DataFrame, text: str, row_id: str, words: int = WORDS, radius:
     return prints.join(common.stored(named, "simhash-classes"), "fp", "left").select("doc_id", "digest", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id", radius: int = KEEP_RADIUS) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id is their component's smallest.
 
     Of rows with the same id and text one stays. Rows with a NULL id stay if no id of their
     component is known, else they go.
     """
-    found = common.stored(classes(docs, text, row_id).select(F.col("doc_id").alias(row_id), "digest", "component_id"), "simhash-rows")
+    found = common.stored(classes(docs, text, row_id, radius=radius).select(F.col("doc_id").alias(row_id), "digest", "component_id"), "simhash-rows")
     own = F.coalesce(F.col(row_id) == F.col("component_id"), F.col("component_id").isNull())
     left = common.without(docs, found.filter(~own).select(row_id, "digest").distinct(), row_id, text)
     repeated = found.filter(own).groupBy(row_id, "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
