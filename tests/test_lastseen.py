@@ -10,7 +10,6 @@ from sightline.sinks import tables
 from sightline.sources import stream
 from sightline.streaming import lastseen as streaming
 from sightline.streaming import run
-from sightline.streaming import run
 
 SCHEMA = "id bigint, entity string, capture_time bigint"
 T = 1000
