@@ -34,6 +34,7 @@ def by_time(spark, df, seconds, path, parts=5, fmt="parquet"):
 
     One file a batch, such a feed reaches a stream in the order of its times.
     """
+    df = df.persist()
     at = [i / parts for i in range(1, parts)]
     cuts = sorted({c for c in df.agg(F.percentile_approx(seconds, at).alias("c")).first().c or []})
     for low, high in zip([None, *cuts], [*cuts, None]):
@@ -43,6 +44,7 @@ def by_time(spark, df, seconds, path, parts=5, fmt="parquet"):
             part = part if high is None else df.filter((F.col(seconds) <= high) | F.col(seconds).isNull())
         rows = part.drop(seconds) if fmt == "text" else part
         rows.coalesce(1).write.mode("append").format(fmt).save(path)
+    df.unpersist()
     return path
 
 
@@ -80,7 +82,7 @@ def _last_seen_over(spark, root, feeds):
     schema = "id bigint, entity string, capture_time bigint"
     for checkpoint, path in feeds.items():
         writers = {"deltas": lambda df, b: tables.write_batch(df, b, f"{root}/out", unique=["id"])}
-        handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state", full_every=3), writers)
+        handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state", full_every=3, buckets=BUCKETS), writers)
         run.drain(run.by_batch(stream.files(spark, path, schema, max_files=1), handle, checkpoint))
     return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
 
@@ -130,6 +132,9 @@ def multi_sink_counts(spark, sf):
     return stream.union(counted)
 
 
+#: Buckets of the state tables here; their entities are few.
+BUCKETS = 8
+
 CLOCK = 1706745600  # what an event without a time to send gets
 
 #: Document field -> SQL over the tables joined in TWO_STAGE_SQL; the others are missing in the feed.
@@ -201,7 +206,7 @@ def two_stage_feed(spark, sf):
         tables.write_batch(messages.as_json(whole), batch, f"{root}/feed", fmt="text")
 
     seen = lastseen.last_seen_batches(
-        lastseen.StateTable(f"{root}/state"), {"feed": republish}, "plateNumber", "captureTime", "id", result="lastCaptured"
+        lastseen.StateTable(f"{root}/state", buckets=BUCKETS), {"feed": republish}, "plateNumber", "captureTime", "id", result="lastCaptured"
     )
 
     def index(rows, batch):
