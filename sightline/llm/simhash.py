@@ -9,6 +9,11 @@ The trees of a corpus grow with it, so they are not broadcast whole: every finge
 its radius + 1 shards instead, 16 bytes each. A shard larger than ``SHARD`` (many fingerprints that
 share one block) is cut again over its remaining bits, by the same argument, so no tree is larger.
 Copies share a fingerprint and enter the trees once.
+
+Near copies (``near_copies``) are texts whose sets of five-word shingles have a Jaccard similarity of
+0.8 or more. At that similarity fingerprints differ in ten bits on average, in more than any radius
+that shards well, so the trees only propose what is close; MinHash bands propose the rest (a link is
+missed with probability (1 - 0.8^4)^40 < 1e-9). Every proposed link is verified exactly.
 """
 
 from __future__ import annotations
@@ -25,24 +30,36 @@ from sightline.llm import common
 from sightline.llm.registry import query
 
 WORDS, RADIUS, SEED, BITS = 3, 2, 42, 64
-#: What makes one document go; 3 of 64 bits is the usual width for near copies (Manku et al. 2007).
+#: What makes one document go: shingles of this many words, and their least Jaccard similarity.
+KEEP_WORDS, SIMILAR = 5, 0.8
+#: Trees propose links at this width, the usual one for near copies (Manku et al. 2007).
 KEEP_RADIUS = 3
+#: MinHash bands, and minima in one.
+BANDS, MINIMA = 40, 4
 #: Most fingerprints in one tree.
 SHARD = 4000
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """64 bits; a bit is 1 if it is set in over half of the hashes of the text's shingles."""
+def shingles(text: str, words: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``words`` words, in the order of the text."""
     found = text.encode("utf-8", "surrogatepass").lower().split()  # both of ASCII only
     if not found:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     joined = memoryview(b" ".join(found))
     ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1)
     starts = np.concatenate([[0], ends[:-1]])
     width = min(words, len(found))
     digest, seed = xxhash.xxh64_intdigest, SEED
     pairs = zip(starts[: len(found) - width + 1].tolist(), (ends[width - 1 :] - 1).tolist())
-    hashes = np.array([digest(joined[s:e], seed) for s, e in pairs], dtype=np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in pairs], dtype=np.uint64)
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """64 bits; a bit is 1 if it is set in over half of the hashes of the text's shingles."""
+    return _majority(shingles(text, words))
+
+
+def _majority(hashes: np.ndarray) -> int:
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 65_536):
         bits = np.unpackbits(hashes[at : at + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -200,13 +217,108 @@ def classes(docs: DataFrame, text: str, row_id: str, words: int = WORDS, radius:
     return prints.join(common.stored(named, "simhash-classes"), "fp", "left").select("doc_id", "digest", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id", radius: int = KEEP_RADIUS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id is their component's smallest.
+def bands(distinct: np.ndarray) -> np.ndarray:
+    """A key for each band of MinHash minima of a set of hashes; of no hashes, no keys."""
+    if not len(distinct):
+        return np.empty(0, dtype=np.int64)
+    rng = np.random.default_rng(SEED)
+    factor = rng.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    shift = rng.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64)
+    least = np.full(BANDS * MINIMA, (1 << 64) - 1, dtype=np.uint64)
+    for at in range(0, len(distinct), 2048):
+        seen = factor[:, None] * distinct[None, at : at + 2048] + shift[:, None]
+        np.minimum(least, seen.min(axis=1), out=least)
+    rows = least.reshape(BANDS, MINIMA)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], dtype=np.uint64).view(np.int64)
+
+
+def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for text in batch["_text"]:
+            hashes = shingles(text, KEEP_WORDS)
+            distinct = np.unique(hashes)
+            node = _signed(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
+            rows.append((node, _signed(_majority(hashes)), bands(distinct)))
+        made = pd.DataFrame(rows, columns=["node", "fp", "keys"])
+        yield pd.concat([batch[["_id", "digest"]].reset_index(drop=True), made], axis=1)
+
+
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [np.unique(shingles(t, KEEP_WORDS)).view(np.int64) for t in batch["_text"]]
+        yield pd.DataFrame({"node": batch["node"].to_numpy(), "s": found})
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets (node, s) have a Jaccard similarity of SIMILAR or more."""
+    sizes = sets.select("node", F.size("s").alias("size"))
+    sized = (
+        pairs.join(sizes.withColumnsRenamed({"node": "a", "size": "m"}), "a").join(sizes.withColumnsRenamed({"node": "b", "size": "n"}), "b")
+        .filter(F.least("m", "n") >= SIMILAR * F.greatest("m", "n"))
+    )
+    both = (
+        common.stored(sized, "simhash-sized").join(sets.withColumnsRenamed({"node": "a", "s": "x"}), "a")
+        .join(sets.withColumnsRenamed({"node": "b", "s": "y"}), "b")
+    )
+    shared = F.size(F.array_intersect("x", "y"))
+    return common.stored(both.filter(shared >= SIMILAR * (F.col("m") + F.col("n") - shared)).select("a", "b"), "simhash-similar")
+
+
+def near_copies(docs: DataFrame, text: str, row_id: str) -> DataFrame:
+    """(doc_id, digest, component_id) for each row; ``digest`` is xxhash64 of the text.
+
+    Rows link if their sets of KEEP_WORDS-word shingles are equal or have a Jaccard similarity of
+    SIMILAR or more. In every bucket of candidates the links to its smallest member are verified
+    first; then all pairs that these have not joined, so near copies of one text cost one check each.
+    """
+    whole = docs.select(
+        F.col(row_id).cast("string").alias("_id"), F.xxhash64(common.whole(text)).alias("digest"), common.whole(text).alias("_text")
+    )
+    sketches = whole.mapInPandas(_sketches, "_id string, digest bigint, node bigint, fp bigint, keys array<bigint>")
+    sketches = common.stored(sketches.withColumn("_id", F.col("_id").cast("bigint")).withColumnRenamed("_id", "doc_id"), "simhash-sketches")
+    first = common.stored(
+        sketches.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("digest").alias("digest"), F.min("fp").alias("fp"), F.first("keys").alias("keys")),
+        "simhash-first",
+    )
+    keyed = first.select(F.explode("keys").alias("key"), "node")
+    several = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("top")).filter("n > 1").drop("n")
+    keyed = common.stored(keyed.join(several, "key"), "simhash-buckets")
+    stars = keyed.filter("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))
+    tops = common.stored(first.groupBy("fp").agg(F.min("node").alias("top")), "simhash-tops")
+    stars = stars.union(first.join(tops, "fp").filter("node <> top").select("top", "node"))
+    for fps in _shards(tops.select("fp"), KEEP_RADIUS, SHARD):
+        close = common.stored(fps.mapInPandas(_links(KEEP_RADIUS), "a bigint, b bigint"), "simhash-links", 64).toDF("x", "y")
+        ends = close.join(tops.select(F.col("fp").alias("x"), F.col("top").alias("a")), "x").join(tops.select(F.col("fp").alias("y"), F.col("top").alias("b")), "y")
+        stars = stars.union(ends.select("a", "b"))
+    stars = common.stored(stars.selectExpr("least(a, b) a", "greatest(a, b) b").distinct(), "simhash-stars")
+    needed = common.stored(stars.selectExpr("explode(array(a, b)) node").distinct().join(first.select("node", "digest"), "node"), "simhash-needed")
+    texts = whole.select("digest", "_text").join(needed, "digest").dropDuplicates(["node"]).select("node", "_text")
+    sets = common.stored(texts.mapInPandas(_sets, "node bigint, s array<bigint>"), "simhash-sets", 64)
+    links = _similar(stars, sets)
+    joined = common.stored(common.components(links, "simhash-edges"), "simhash-joined")
+    placed = common.stored(
+        keyed.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "simhash-placed"
+    )
+    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    open_ = common.stored(placed.join(apart, "key"), "simhash-open")
+    rest = (
+        open_.withColumnsRenamed({"node": "a", "component": "p"}).join(open_.withColumnsRenamed({"node": "b", "component": "q"}), "key")
+        .filter("a < b and p <> q").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    )
+    links = links.union(_similar(common.stored(rest, "simhash-rest"), sets))
+    found = common.components(links, "simhash-edges")
+    named = common.stored(common.smallest_ids(first.select("node", "least"), found, "simhash-components"), "simhash-classes")
+    return sketches.join(named, "node").select("doc_id", "digest", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is the smallest of their near copies'.
 
     Of rows with the same id and text one stays. Rows with a NULL id stay if no id of their
     component is known, else they go.
     """
-    found = common.stored(classes(docs, text, row_id, radius=radius).select(F.col("doc_id").alias(row_id), "digest", "component_id"), "simhash-rows")
+    found = common.stored(near_copies(docs, text, row_id).withColumnRenamed("doc_id", row_id), "simhash-rows")
     own = F.coalesce(F.col(row_id) == F.col("component_id"), F.col("component_id").isNull())
     left = common.without(docs, found.filter(~own).select(row_id, "digest").distinct(), row_id, text)
     repeated = found.filter(own).groupBy(row_id, "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")

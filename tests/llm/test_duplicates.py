@@ -96,6 +96,35 @@ def test_one_of_each_group_stays_with_all_columns(spark, odd):
     assert simhash.keep_one(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_near_copies_equal_all_pairs(spark, prose, reachable):
+    """Every pair with a Jaccard similarity of 0.8 or more links, and no other, however far their fingerprints are apart."""
+    rows = []
+    for g in range(40):
+        words = prose(400, 300 + g).split()
+        for c in range(6):
+            changed = list(words)
+            for k in range(3 * c):
+                changed[random.Random(g * 10 + c * 100 + k).randrange(400)] = f"new{g}x{c}x{k}"
+            rows.append((g * 10 + c, " ".join(changed)))
+    rows += [(1001, ""), (1002, None), (1003, "one two"), (1004, "ONE  two")]
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    prints = [simhash.fingerprint(t or "") for _, t in rows]
+    same = lambda a, b: sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if same(a, b)]
+    far = [p for p in pairs if (prints[p[0]] ^ prints[p[1]]).bit_count() > 3]
+    assert len(far) > 40
+    tops = reachable(range(len(rows)), same)
+    want = sorted((i, rows[tops[k]][0]) for k, (i, _) in enumerate(rows))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.doc_id, r.component_id) for r in simhash.near_copies(docs, "text", "doc_id").collect())
+    assert got == want
+    kept = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
+    assert kept == sorted({i for _, i in want})
+
+
 def test_components_of_long_chains(spark):
     chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(1, 200).select((F.col("id") + 1000).alias("a"), F.lit(1000).cast("bigint").alias("b"))
