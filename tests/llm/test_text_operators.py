@@ -138,6 +138,51 @@ def test_there_are_hundreds_of_rules():
     assert len({r[4] for r in licenses.rules()}) > 200
 
 
+def matching(parsed, rest=("",)):
+    """Texts that an expression matches: each alternative, optional parts left out and put in."""
+    found = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "IN":
+            more = [chr(x) for kind, x in arg if str(kind) == "LITERAL"] or [" " if str(arg[0][1]) == "CATEGORY_SPACE" else "a"]
+        elif op == "MAX_REPEAT":
+            more = ([""] if arg[0] == 0 else []) + matching(arg[2])
+        elif op == "BRANCH":
+            more = [x for part in arg[1] for x in matching(part)]
+        elif op == "SUBPATTERN":
+            more = matching(arg[3])
+        else:
+            more = [""]
+        found = [f + m for f in found for m in more]
+    return found
+
+
+def test_no_rule_is_dropped_by_the_keywords():
+    by_rule = {}
+    for keyword, priority, *_, expression in licenses.rules():
+        by_rule.setdefault((priority, expression), set()).add(keyword)
+    for (priority, expression), keywords in by_rule.items():
+        name = list(licenses.FAMILIES.values())[priority % len(licenses.FAMILIES)][1]
+        bare = expression.replace(f"(?:{name})", "name") if priority // len(licenses.FAMILIES) in (1, 3) else expression
+        texts = matching(re._parser.parse(name if bare != expression else expression))
+        assert texts
+        for text in texts:
+            assert any(k in text for k in keywords), (expression, text)
+
+
+def test_names_may_be_glued(spark):
+    texts = {
+        "released under the GPLv3": "gpl-3.0", "Released under the GPL3.": "gpl-3.0", "released under the gplv2": "gpl-2.0",
+        "it is LGPLv3": "lgpl-3.0", "it is LGPLv2.1": "lgpl-2.1", "it is AGPLv3": "agpl-3.0", "a FreeBSD license": "bsd-2-clause",
+        "採用Apache License": "apache", "see mygnu.org/licenses/gpl-3.0": "gpl-3.0",
+    }
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.labels.split(",") for r in licenses.scan(rows).collect()}
+    assert all(label in found[i] for i, label in enumerate(texts.values())), found
+
+
 # --- tokens ----------------------------------------------------------------------------------
 
 TEXTS = [
