@@ -42,8 +42,6 @@ HELD_OUT = 3
 QUANTILE, MARGIN = 0.995, 1.05
 #: Allowance for chance in short texts: the threshold is raised by exp(SLACK / sqrt(characters)).
 SLACK = 2.5
-#: A language with fewer held-out trusted texts takes the threshold over all languages.
-LEAST = 50
 
 PACKED = (
     "batch bigint, shard int, n_docs int, keys binary, sizes binary, docs binary, counts binary, "
@@ -311,7 +309,8 @@ def judge(
 
     Trusted texts are those with a label (``row_id``, quality) of 1 and none of 0. Three of four are
     counted; the others set each language's threshold, ``margin`` times their ``quantile``, and
-    more for short texts, whose perplexity varies by chance. A NULL language is one of its own. Empty and NULL texts have the perplexity of an immediate end and are
+    more for short texts, whose perplexity varies by chance. However few they are, a language is
+    judged by its own; one without any takes the quantile over all. A NULL language is one of its own. Empty and NULL texts have the perplexity of an immediate end and are
     rejected: there is nothing to learn from. NULL ids are never trusted, repeated ids are judged
     row by row. Without held-out trusted texts everything but the empty is kept. Texts are counted
     and judged whole.
@@ -330,9 +329,7 @@ def judge(
     held = measured.filter("n_grams > 1").join(trusted.filter("_held").select("_id"), "_id")
     limit = (F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")
     over_all = held.agg(limit).first()["threshold"]
-    own = held.groupBy("_lang").agg(limit, F.count("*").alias("n")).filter(F.col("n") >= LEAST).select(
-        F.col("_lang").alias("_own"), "threshold"
-    )
+    own = held.groupBy("_lang").agg(limit).select(F.col("_lang").alias("_own"), "threshold")
     judged = measured.join(own, F.col("_lang").eqNullSafe(F.col("_own")), "left")
     threshold = F.coalesce("threshold", F.lit(over_all).cast("double"))
     threshold = threshold * F.exp(SLACK / F.sqrt("n_grams"))

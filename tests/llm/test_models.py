@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -81,6 +82,18 @@ def test_junk_goes_and_clean_texts_stay(spark, prose, odd):
     assert len(ids & set(range(300))) >= 297 and not ids & set(range(1000, 1060))
 
 
+def test_a_rare_language_has_its_own_threshold(spark, prose):
+    rows = [(i, prose(120, i), "en") for i in range(300)] + [(1000 + i, "la lo le " * (30 + i), "xx") for i in range(60)] + [(2000, prose(120, 9), "yy")]
+    labels = [(i, 1) for i, *_ in rows if i < 2000]
+    found = quality.judge(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    held = {r.doc_id: r for r in found if zlib.crc32(str(r.doc_id).encode()) % 4 == quality.HELD_OUT and r.doc_id < 2000}
+    limits = {r.lang: r.threshold / math.exp(quality.SLACK / math.sqrt(r.n_grams)) for r in found}
+    few = [r.perplexity for r in held.values() if r.lang == "xx"]
+    assert 0 < len(few) < 30
+    assert limits["xx"] == pytest.approx(quality.MARGIN * max(few)) and limits["xx"] < 0.7 * limits["en"]
+    assert limits["yy"] == pytest.approx(limits["en"], rel=0.05)
+
+
 def test_odd_rows_and_no_labels(spark, odd):
     none = spark.createDataFrame([(None, 1), (7, None)], "doc_id bigint, quality int")
     judged = quality.judge(odd, none).collect()
