@@ -30,6 +30,8 @@ MOST = 2.0**52
 #: Halves of an integer that are summed apart, so that no sum can overflow.
 HALF = 1 << 26
 SWEEPS, SETTLED = 60, 1e-15
+#: Rounding errors of a diagonal entry, in units of (dimensions x machine precision x the entry).
+ROUNDING = 16
 RESULT = (
     "{id} bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
 )
@@ -118,17 +120,19 @@ def _matrix_sum(vectors: DataFrame, centre: Centre, shown: Callable[[np.ndarray]
 def pivoted_cholesky(a: np.ndarray) -> np.ndarray:
     """L of full column rank with L L^T = ``a``, triangular up to the order of its rows.
 
-    Every step takes the largest remaining diagonal entry; it ends when that is rounding error.
+    Every step takes the largest remaining diagonal entry. An entry that is rounding error of the one
+    it began as counts as zero, and it ends when all are.
     """
     size = len(a)
     left, order = a.diagonal().copy(), np.arange(size)
     factor = np.zeros((size, size))
-    end = size * np.finfo(float).eps * max(left.max(initial=0.0), 0.0)
+    error = ROUNDING * size * np.finfo(float).eps * left
     for k in range(size):
+        left[left <= error] = 0.0
         at = k + int(np.argmax(left[order[k:]]))
         order[[k, at]] = order[[at, k]]
         pivot, below = order[k], order[k + 1:]
-        if left[pivot] <= end:
+        if left[pivot] <= 0:
             return factor[:, :k]
         factor[pivot, k] = np.sqrt(left[pivot])
         factor[below, k] = (a[below, pivot] - factor[below, :k] @ factor[pivot, :k]) / factor[pivot, k]
