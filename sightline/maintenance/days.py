@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline import session
+from sightline.maintenance import intents
 from sightline.sinks import tables
+from sightline.sources import folders
+
+#: Bytes that a compacted file should have.
+FILE_BYTES = 128 << 20
 
 
 def has_day(table: DataFrame, day: int, column: str = "dateid") -> bool:
@@ -83,45 +89,78 @@ def import_day(
         placed.select(*spark.table(table).columns).write.mode("append").insertInto(table)
 
 
+def layout(spark: SparkSession, table: str, first: int, last: int, column: str = "dateid") -> DataFrame:
+    """(*partition columns, file, size) of the data files of some days, a row each."""
+    spark.catalog.refreshTable(table)
+    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    files = spark.table(table).filter(F.col(column).between(first, last))
+    return files.select(*keys, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+
+
+def compact_range(
+    spark: SparkSession, table: str, first: int, last: int, by: str, column: str = "dateid", target: int = FILE_BYTES,
+) -> int:
+    """Rewrite the partitions of some days that have more files than their bytes need; returns how many.
+
+    Which ones is planned from the listed sizes: files of about ``target`` bytes, gathered by the hash
+    of ``by``. All of them are written by one job, beside the table, and take the old files' place
+    as one recorded change; rows that were added meanwhile are in other files and stay.
+    """
+    intents.finish(spark, table)
+    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    files = layout(spark, table, first, last, column).persist()
+    try:
+        slots = F.greatest(F.lit(1), F.ceil(F.sum("size") / target))
+        plan = files.groupBy(*keys).agg(F.count("*").alias("n"), slots.alias("slots")).filter("n > slots").select(*keys, "slots")
+        due = spark.createDataFrame(plan.collect(), plan.schema).withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        old = [r.file for r in files.join(due, same).select("file").collect()]
+        if not old:
+            return 0
+        columns = spark.table(table).columns
+        read = spark.read.schema(spark.table(table).schema).option("basePath", intents.location(spark, table)).parquet(*old)
+        slot = F.pmod(F.xxhash64(by), F.col("slots"))
+        rows = read.join(due, same).withColumn("_slot", slot).hint("rebalance", *keys, "_slot").select(*columns)
+        staging = session.scratch_path(spark, "compact")
+        rows.write.partitionBy(*keys).parquet(staging)
+        intents.change(spark, table, staging, gone=old)
+        return due.count()
+    finally:
+        files.unpersist()
+
+
 def merge_days(
     spark: SparkSession, source: str, target: str, last: int, first: int, by: list[str],
     column: str = "dateid", replace: bool = False,
 ) -> list[int]:
     """Move the source's days between ``first`` and ``last`` into the target's finer partitions.
 
-    All of them are written by one job; then they are marked as merged, and dropped. Days the source
-    lacks are skipped. Rows are added to what the target has; ``replace`` overwrites the target
-    partitions instead. A run after one that failed finds the days that were marked but not dropped
-    and only drops them. Returns the moved days.
-
-    The marks are ``merged_days`` in the target's properties: the days of one call, until the last of
-    them is dropped.
+    All of them are written by one job, beside the target, and moved in as one recorded change: a run
+    that is cut off at any step and tried again ends with each row once. Days the source lacks are
+    skipped; rows that the source gets meanwhile stay there. Rows are added to what the target has;
+    ``replace`` removes what the target partitions held. Returns the days that this call or the
+    completion of an earlier one moved out.
     """
-    days = days_of(spark, source, first, last, column)
-    marked = _marked(spark, target)
-    fresh = [d for d in days if f"{source}/{d}" not in marked]
-    if fresh:
-        rows = spark.table(source).filter(F.col(column).isin(fresh))
-        placed = rows.hint("rebalance", *by)
+    before = days_of(spark, source, first, last, column)
+    intents.finish(spark, target)
+    intents.finish(spark, source)
+    days = [d for d in before if files_of(spark, source, d, column)]
+    if days:
+        files = [r.file for r in layout(spark, source, first, last, column).select("file").distinct().collect()]
+        rows = spark.read.schema(spark.table(source).schema).option("basePath", intents.location(spark, source)).parquet(*files)
+        keys = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+        staging = session.scratch_path(spark, "merge")
+        rows.select(*spark.table(target).columns).hint("rebalance", *by).write.partitionBy(*keys).parquet(staging)
+        gone = []
         if replace:
-            tables.replace_partitions(placed, target)
-        else:
-            placed.select(*spark.table(target).columns).write.mode("append").insertInto(target)
-        marked |= {f"{source}/{d}" for d in fresh}
-        _mark(spark, target, marked)
-    for day in days:
-        drop_day(spark, source, day, column)
-    _mark(spark, target, marked - {f"{source}/{d}" for d in days})
-    return days
-
-
-def _marked(spark: SparkSession, table: str) -> set[str]:
-    found = {r.key: r.value for r in spark.sql(f"show tblproperties {table}").collect()}
-    return set(filter(None, found.get("merged_days", "").split(",")))
-
-
-def _mark(spark: SparkSession, table: str, days: set[str]) -> None:
-    spark.sql(f"alter table {table} set tblproperties ('merged_days' = '{','.join(sorted(days))}')")
+            made = {f.rpartition("/")[0] for f, _ in folders.files(spark, staging) if "=" in f}
+            at = intents.location(spark, target)
+            gone = [f"{at}/{m}/{f}" for m in made for f, _ in folders.files(spark, f"{at}/{m}")]
+        intents.change(spark, target, staging, gone, source, files)
+    for day in before:
+        if not files_of(spark, source, day, column):
+            drop_day(spark, source, day, column)
+    return before
 
 
 def days_back(day: int, n: int) -> int:

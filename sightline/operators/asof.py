@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sightline import schemas
-from sightline.operators import sightings
+from sightline.operators import ordered
 from sightline.operators.filters import valid_entity
 
 
@@ -23,22 +23,20 @@ def next_sighting(
 
     Both are NULL when there is none, or none within ``within`` seconds.
     """
-    nobody = F.lit(None).cast(seen.schema[row_id].dataType)
-    points = seen.select(F.col(entity).alias("entity"), F.col(seconds).alias("sec"), F.col(row_id).alias("_id"))
-    points = points.unionByName(
-        late.select(F.col(entity).alias("entity"), F.col(seconds).alias("sec"), nobody.alias("_id"))
-    ).filter(F.col("entity").isNotNull() & F.col("sec").isNotNull())
-    timeline = points.groupBy("entity", "sec").agg(F.min("_id").alias("_id"))
-    sighting = F.when(F.col("_id").isNotNull(), F.struct("sec", F.col("_id").alias("id")))
-    found = sightings.with_neighbour(timeline, sighting, forward=True).select(
-        "entity", "sec", "neighbour"
+    points = seen.select(
+        F.col(entity).alias("entity"), F.col(seconds).cast("bigint").alias("sec"), F.col(row_id).alias("id"),
+        F.lit(True).alias("seen"),
     )
-    joined = sightings.attach(late, found, F.col(entity), seconds)
-    hit = F.col("neighbour")
-    if within is not None:
-        hit = F.when(F.col("neighbour.sec") - F.col(seconds) <= within, F.col("neighbour"))
-    return joined.select(
-        *late.columns, hit.getField("id").alias("next_id"), hit.getField("sec").alias("next_time")
+    whole = F.struct(*late.columns)
+    asked = late.select(
+        F.col(entity).alias("entity"), F.col(seconds).cast("bigint").alias("sec"),
+        F.lit(None).cast(seen.schema[row_id].dataType).alias("id"), F.lit(False).alias("seen"), whole.alias("row"),
+    )
+    both = asked.unionByName(points.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType)))
+    found = ordered.neighbours(both, forward=True)
+    hit = F.lit(True) if within is None else F.col("near_sec") - F.col(seconds) <= within
+    return found.select(
+        *late.columns, F.when(hit, F.col("near_id")).alias("next_id"), F.when(hit, F.col("near_sec")).alias("next_time")
     )
 
 

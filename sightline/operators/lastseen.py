@@ -24,17 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline import schemas
-from sightline.operators import cells, sightings
+from sightline.operators import cells, ordered, sightings
 from sightline.operators.filters import valid_entity
 
 SUPPRESSED = -1
 
 
-def step(seen: bool, ct: int, lt: int, t: int, threshold: int) -> tuple[int, int, int]:
-    """One sighting: (result, new ct, new lt)."""
-    if not seen:
-        return 0, t, 0
+def step(seen: bool, ct: int, lt: int, t: int, threshold: int, horizon: int | None = None) -> tuple[int, int, int]:
+    """One sighting: (result, new ct, new lt). An entity not counted for longer than ``horizon`` is unseen."""
     gap = t - ct
+    if not seen or (horizon is not None and gap > horizon):
+        return 0, t, 0
     if gap > 0 and lt != 0 and gap + lt < threshold:
         return SUPPRESSED, ct, lt
     return (gap, t, gap) if gap >= 0 else (gap, ct, lt)
@@ -48,7 +48,7 @@ def _runs(keys: pa.Array) -> list[tuple[int, int]]:
     return list(zip(starts, [*starts[1:], n]))
 
 
-def _walk(threshold: int):
+def _walk(threshold: int, horizon: int | None = None):
     """Arrow batches of timelines sorted by (entity, seed first, second) -> counted seconds.
 
     Only the state of the entity at hand is kept from one batch to the next, so a timeline may
@@ -75,7 +75,7 @@ def _walk(threshold: int):
                         seen, ct, lt = True, t, seeds[i]
                         i += 1
                         continue
-                    delta, ct, lt = step(seen, ct, lt, t, threshold)
+                    delta, ct, lt = step(seen, ct, lt, t, threshold, horizon)
                     seen = True
                     if delta == SUPPRESSED:  # or a late second at -1, which reads the same without a row
                         i = bisect_left(secs, ct + threshold - lt, i + 1, end) if t > ct else i + 1
@@ -95,7 +95,9 @@ def _walk(threshold: int):
     return run
 
 
-def counted_seconds(timeline: DataFrame, threshold: int, state: DataFrame | None = None) -> DataFrame:
+def counted_seconds(
+    timeline: DataFrame, threshold: int, state: DataFrame | None = None, horizon: int | None = None
+) -> DataFrame:
     """(entity, sec, first_id, first_delta, rest_delta) of every second that is not suppressed.
 
     ``state`` (entity, ct, lt) seeds the walk. Timelines are sorted by Spark and streamed, so a
@@ -117,7 +119,7 @@ def counted_seconds(timeline: DataFrame, threshold: int, state: DataFrame | None
     return (
         points.repartition("entity")
         .sortWithinPartitions("entity", F.col("seed_gap").isNull(), "sec")
-        .mapInArrow(_walk(threshold), schema)
+        .mapInArrow(_walk(threshold, horizon), schema)
     )
 
 
@@ -130,8 +132,9 @@ def last_seen(
     valid: Column | None = None,
     state: DataFrame | None = None,
     result: str = "last_captured",
+    horizon: int | None = None,
 ) -> DataFrame:
-    """Add the last-seen delta to every row.
+    """Add the last-seen delta to every row; with ``horizon`` an entity unseen for longer starts anew.
 
     Three narrow steps carry the work: distinct seconds (pre-aggregated, shuffled by entity and
     second), the ordered walk, and the join back. Full rows are shuffled once, for the join.
@@ -140,7 +143,7 @@ def last_seen(
     timeline = sightings.distinct_seconds(
         rows.select(good.alias("_entity"), seconds, row_id), "_entity", seconds, row_id
     )
-    counted = counted_seconds(timeline, threshold, state)
+    counted = counted_seconds(timeline, threshold, state, horizon)
     joined = sightings.attach(rows, counted, good, seconds)
     delta = F.when(F.col(row_id) == F.col("first_id"), F.col("first_delta")).otherwise(F.col("rest_delta"))
     return joined.withColumn(result, F.coalesce(delta, F.lit(SUPPRESSED).cast("bigint"))).drop(
@@ -163,13 +166,14 @@ def last_seen_simple(
     result: str = "last_captured",
 ) -> DataFrame:
     """The plain delta: 1 for an unseen entity, the gap when later than before, else 0."""
-    timeline = sightings.distinct_seconds(rows, entity, seconds, row_id).drop("repeated")
-    gaps = sightings.with_neighbour(timeline, F.col("sec"), forward=False).select(
-        "entity", "sec", "first_id", F.coalesce(F.col("sec") - F.col("neighbour"), F.lit(1)).alias("_gap")
+    points = rows.select(
+        F.col(entity).alias("entity"), F.col(seconds).cast("bigint").alias("sec"), F.col(row_id).alias("id"),
+        F.lit(True).alias("seen"), F.struct(*rows.columns).alias("row"),
     )
-    joined = sightings.attach(rows, gaps, F.col(entity), seconds)
-    delta = F.when(F.col(row_id) == F.col("first_id"), F.col("_gap")).otherwise(F.lit(0))
-    return joined.withColumn(result, delta.cast("bigint")).drop("first_id", "_gap")
+    found = ordered.neighbours(points, forward=False)
+    gap = F.coalesce(F.col(seconds).cast("bigint") - F.col("near_sec"), F.lit(1))
+    delta = F.when(F.col(row_id) == F.col("first_id"), gap).otherwise(F.lit(0))
+    return found.withColumn(result, delta.cast("bigint")).select(*rows.columns, result)
 
 
 def state_table(

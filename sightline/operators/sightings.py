@@ -10,11 +10,8 @@ events by a join on (entity, second), whose hot seconds adaptive execution split
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-DAY_SECONDS = 86_400
-
 
 def distinct_seconds(rows: DataFrame, entity: str, seconds: str, row_id: str) -> DataFrame:
     """(entity, sec, first_id, repeated): ``repeated`` if more than one event has that second.
@@ -29,39 +26,6 @@ def distinct_seconds(rows: DataFrame, entity: str, seconds: str, row_id: str) ->
     )
 
 
-def with_neighbour(timeline: DataFrame, value: Column, forward: bool) -> DataFrame:
-    """Add ``neighbour``: the nearest non-NULL ``value`` at an earlier (later) second.
-
-    ``timeline`` has one row per (entity, sec). It is ordered within (entity, day), which is at
-    most 86,400 rows; what the other days contribute is one row per day. Both parts read the
-    same shuffle by (entity, day).
-    """
-    day = F.floor(F.col("sec") / DAY_SECONDS)
-    step = F.col("sec").desc() if forward else F.col("sec").asc()
-    before = W.unboundedPreceding
-    in_day = W.partitionBy("entity", "_day").orderBy(step).rowsBetween(before, -1)
-    marked = timeline.withColumns({"_day": day, "_value": value}).repartition("entity", "_day")
-
-    # The edge keeps all columns, so that both readers of the shuffle want the same ones of it
-    # and Spark runs it once.
-    rest = [c for c in timeline.columns if c not in ("entity", "sec")]
-    nearest = F.when(F.col("_value").isNotNull(), F.struct("sec", "_value", *rest))
-    edge = F.min(nearest) if forward else F.max(nearest)
-    day_step = F.col("_day").desc() if forward else F.col("_day").asc()
-    over_days = W.partitionBy("entity").orderBy(day_step).rowsBetween(before, -1)
-    edges = (
-        marked.groupBy("entity", "_day").agg(edge.alias("_edge"))
-        .withColumn("_beyond", F.last("_edge", ignorenulls=True).over(over_days))
-        .filter(F.col("_beyond").isNotNull())
-        .select("entity", "_day", F.col("_beyond._value").alias("_beyond"))
-    )
-    return (
-        marked.withColumn("_inside", F.last("_value", ignorenulls=True).over(in_day))
-        .join(edges, ["entity", "_day"], "left")
-        .select(*timeline.columns, F.coalesce("_inside", "_beyond").alias("neighbour"))
-    )
-
-
 def attach(rows: DataFrame, per_second: DataFrame, entity: Column, seconds: str) -> DataFrame:
     """Left join of per-second results to the events; ``entity`` may be NULL to match nothing."""
     keyed = rows.withColumns({"_entity": entity, "_sec": F.col(seconds)})

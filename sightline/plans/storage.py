@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sightline import schemas, session
 from sightline.functions import keys, timecodes
@@ -121,6 +122,14 @@ DOC_BODY_SQL = (
 )
 
 
+_DOC_BODY = T.StructType([
+    T.StructField("A001", T.LongType()), T.StructField("A002", T.LongType()), T.StructField("A007", T.StringType()),
+    T.StructField("A015", T.StringType()),
+])
+#: Buckets of an index here; its documents are few.
+DOC_BUCKETS = 2
+
+
 def _order_docs(spark, sf):
     rows = st.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("A001"), F.col("o_custkey").alias("A002"), F.col("o_orderstatus").alias("A007"),
@@ -131,12 +140,27 @@ def _order_docs(spark, sf):
     return documents.to_documents(rows, "A001", index, F.col("seconds"), ["A001", "A002", "A007", "A015"])
 
 
+#: What the patch of doc_index_monthly leaves of DOC_BODY_SQL: orders of a priority get it spelt otherwise.
+PATCHED_SQL = DOC_BODY_SQL.replace(
+    "o_orderpriority ||", "case when o_orderkey % 7 = 0 then 'checked' else o_orderpriority end ||"
+)
+
+
 @query("doc_index_monthly", f"""
 select 'pass' || strftime(o_orderdate, '%Y%m') as index_name, cast(o_orderkey as varchar) as doc_id,
-    cast(epoch(date_trunc('second', o_orderdate)) as bigint) as version, {DOC_BODY_SQL} as body from orders""")
+    cast(epoch(date_trunc('second', o_orderdate)) as bigint) as version, {PATCHED_SQL} as body from orders""")
 def doc_index_monthly(spark, sf):
+    """Two loads that overlap, a patch of one field in every seventh document, and a compaction after each."""
     path = session.scratch_path(spark, "docs")
-    indexes.write_monthly(_order_docs(spark, sf), Batch("load", 0), path)
+    docs = _order_docs(spark, sf)
+    number = F.col("doc_id").cast("bigint")
+    indexes.write_monthly(docs.filter(number % 3 != 0), Batch("load", 0), path, DOC_BUCKETS)
+    indexes.compact(spark, path)
+    indexes.write_monthly(docs.filter(number % 3 != 1), Batch("load", 1), path, DOC_BUCKETS)
+    patches = docs.filter((number % 7 == 0) & F.contains("body", F.lit('"A015"'))).select(
+        "index_name", "doc_id", "version", F.lit("checked").alias("A015")
+    )
+    indexes.patch_monthly(patches, _DOC_BODY, Batch("patch", 0), path)
     indexes.compact(spark, path)
     return indexes.read(spark, path)
 

@@ -30,22 +30,27 @@ def _written(spark, df, label):
 
 
 def by_time(spark, df, seconds, path, parts=5, fmt="parquet"):
-    """Write a feed as files of consecutive time ranges, oldest first; rows of one second stay together.
+    """Write a feed as a folder for each of consecutive time ranges; the folders' names, oldest first.
 
-    One file a batch, such a feed reaches a stream in the order of its times.
+    Rows of one second stay together, rows without a time come first. One job writes all of them, each
+    task its rows of every range.
     """
-    df = df.persist()
     at = [i / parts for i in range(1, parts)]
     cuts = sorted({c for c in df.agg(F.percentile_approx(seconds, at).alias("c")).first().c or []})
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = df if low is None else df.filter(F.col(seconds) > low)
-        part = part if high is None else part.filter(F.col(seconds) <= high)
-        if low is None:
-            part = part if high is None else df.filter((F.col(seconds) <= high) | F.col(seconds).isNull())
-        rows = part.drop(seconds) if fmt == "text" else part
-        rows.coalesce(1).write.mode("append").format(fmt).save(path)
-    df.unpersist()
-    return path
+    place = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(seconds))), F.lit(0)) if cuts else F.lit(0)
+    rows = df.withColumn("_range", F.when(F.col(seconds).isNull(), 0).otherwise(place))
+    (rows.drop(seconds) if fmt == "text" else rows).write.partitionBy("_range").format(fmt).save(path)
+    return sorted(n for n in folders.names(spark, path) if n.startswith("_range="))
+
+
+def in_turn(spark, query, staged, names, feed):
+    """Move staged folders into a running query's feed, each when the ones before have been handled; then stop."""
+    try:
+        for name in names:
+            folders.move(spark, f"{staged}/{name}", f"{feed}/{name.removeprefix('_')}")
+            query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 @query("stream_scan", "select event_id, ts, user_id, event_type, value, props from events")
@@ -74,16 +79,22 @@ def stream_union(spark, sf):
 @query("last_seen_stream", FOLD + "select * from deltas")
 def last_seen_stream(spark, sf):
     root = session.scratch_path(spark, "last-seen")
-    return _last_seen_over(spark, root, {f"{root}/c": by_time(spark, sighting_rows(spark, sf), "capture_time", f"{root}/in")})
+    return _last_seen_over(spark, root, {"c": sighting_rows(spark, sf)})
 
 
-def _last_seen_over(spark, root, feeds):
-    """Drain feeds (checkpoint: folder), one file a batch, into one sink over one state table."""
-    schema = "id bigint, entity string, capture_time bigint"
-    for checkpoint, path in feeds.items():
+SIGHTINGS = "id bigint, entity string, capture_time bigint"
+
+
+def _last_seen_over(spark, root, feeds, parts=5):
+    """Feeds (checkpoint: rows), a time range a batch, into one sink over one state table."""
+    for checkpoint, rows in feeds.items():
+        names = by_time(spark, rows.select("id", "entity", "capture_time"), "capture_time", f"{root}/staged-{checkpoint}", parts)
         writers = {"deltas": lambda df, b: tables.write_batch(df, b, f"{root}/out", unique=["id"])}
-        handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state", full_every=3, buckets=BUCKETS), writers)
-        run.drain(run.by_batch(stream.files(spark, path, schema, max_files=1), handle, checkpoint))
+        handle = lastseen.last_seen_batches(lastseen.StateTable(f"{root}/state", fan=3, buckets=BUCKETS), writers)
+        feed = f"{root}/feed-{checkpoint}"
+        folders.make(spark, feed)
+        query = run.by_batch(stream.files(spark, feed, SIGHTINGS, recursive=True), handle, f"{root}/{checkpoint}", every=AT_ONCE)
+        in_turn(spark, query, f"{root}/staged-{checkpoint}", names, feed)
     return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
 
 
@@ -94,18 +105,40 @@ def replay_fresh_checkpoint(spark, sf):
     rows = sighting_rows(spark, sf)
     middle = rows.agg(F.percentile_approx("capture_time", 0.5).alias("m")).first().m
     halves = {"old": rows.filter(F.col("capture_time") <= middle), "new": rows.filter(F.col("capture_time") > middle)}
-    feeds = {f"{root}/c-{n}": by_time(spark, half, "capture_time", f"{root}/{n}", 3) for n, half in halves.items()}
-    return _last_seen_over(spark, root, feeds)
+    return _last_seen_over(spark, root, halves, 3)
+
+
+def _in_state_store(spark, root, rows, **options):
+    """Five time ranges, a batch each, through the state store."""
+    names = by_time(spark, rows, "capture_time", f"{root}/staged")
+    folders.make(spark, f"{root}/in")
+    source = stream.files(spark, f"{root}/in", SIGHTINGS, recursive=True)
+    query = run.to_files(lastseen.last_seen_stream(source, **options), f"{root}/out", f"{root}/ckpt", every=AT_ONCE)
+    in_turn(spark, query, f"{root}/staged", names, f"{root}/in")
+    return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
 
 
 @query("last_seen_state_store", FOLD + "select * from deltas")
 def last_seen_state_store(spark, sf):
     """The same with the state in Spark's state store."""
-    root = session.scratch_path(spark, "state-store")
-    path = by_time(spark, sighting_rows(spark, sf), "capture_time", f"{root}/in")
-    source = stream.files(spark, path, "id bigint, entity string, capture_time bigint", max_files=1)
-    run.drain(run.to_files(lastseen.last_seen_stream(source), f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out").select("id", "entity", "capture_time", "last_captured")
+    return _in_state_store(spark, session.scratch_path(spark, "state-store"), sighting_rows(spark, sf))
+
+
+HORIZON = 3 * 86_400
+
+
+def _expiring_sql() -> str:
+    """The fold in which an entity that was last counted longer ago than the horizon starts anew."""
+    known = "case when r.capture_time > w.ct and"
+    first, *rest = FOLD_SQL.split(known)
+    fresh = [f"case when r.capture_time - w.ct > {HORIZON} then {v} when r.capture_time > w.ct and" for v in ("r.capture_time", "0", "0")]
+    return st.with_(first + "".join(a + b for a, b in zip(fresh, rest)), recursive=True)
+
+
+@query("last_seen_expiring", _expiring_sql() + "select * from deltas")
+def last_seen_expiring(spark, sf):
+    """State that is given up by event-time timers once it is older than the horizon."""
+    return _in_state_store(spark, session.scratch_path(spark, "expiring"), sighting_rows(spark, sf), horizon=HORIZON)
 
 
 @query("multi_sink_counts", EV + """
@@ -134,6 +167,8 @@ def multi_sink_counts(spark, sf):
 
 #: Buckets of the state tables here; their entities are few.
 BUCKETS = 8
+#: A batch as soon as there is something.
+AT_ONCE = "0 seconds"
 
 CLOCK = 1706745600  # what an event without a time to send gets
 
@@ -196,7 +231,9 @@ def two_stage_feed(spark, sf):
     lines = st.lines(spark, sf).withColumn("_at", F.get_json_object("value", "$.captureTime").cast("bigint"))
     # a line that is cut off has a time only its text tells
     lines = lines.withColumn("_at", F.coalesce("_at", F.regexp_extract("value", '"captureTime":([0-9]+)', 1).cast("bigint")))
-    source = stream.files(spark, by_time(spark, lines, "_at", f"{root}/lines", fmt="text"), "value string", fmt="text", max_files=1)
+    names = by_time(spark, lines, "_at", f"{root}/staged", fmt="text")
+    folders.make(spark, f"{root}/lines")
+    source = stream.files(spark, f"{root}/lines", "value string", fmt="text", recursive=True)
     events = decode.valid(decode.decode_json(source, schemas.EVENT_V2)).drop("value")
     fields = [name for name, _ in schemas.fields_of(schemas.EVENT_V2)]
     clock = F.timestamp_seconds(F.lit(CLOCK))
@@ -215,12 +252,12 @@ def two_stage_feed(spark, sf):
         indexes.write_monthly(to_documents(coded, "A001", name, F.col("A009"), coded.columns), batch, f"{root}/docs")
 
     folders.make(spark, f"{root}/feed")
-    first = run.by_batch(_enriched(spark, sf, events.drop("lastCaptured")), seen, f"{root}/c1")
+    first = run.by_batch(_enriched(spark, sf, events.drop("lastCaptured")), seen, f"{root}/c1", every=AT_ONCE)
     feed = stream.files(spark, f"{root}/feed", "value string", fmt="text", recursive=True)
     again = decode.valid(decode.decode_json(feed, schemas.EVENT_V2))
-    second = run.for_each(again, {"documents": index}, f"{root}/c2", every="1 second")
+    second = run.for_each(again, {"documents": index}, f"{root}/c2", every=AT_ONCE)
     try:
-        run.drain(first)
+        in_turn(spark, first, f"{root}/staged", names, f"{root}/lines")
         second.processAllAvailable()
     finally:
         second.stop()

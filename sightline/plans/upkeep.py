@@ -52,6 +52,19 @@ def compact_day(spark, sf):
     return _rows(spark, name).withColumn("fewer_files", F.lit(fewer))
 
 
+@query("compact_range", EV + f"""
+select *, 1 as n_files from ({DAY_ROWS_SQL})""")
+def compact_range(spark, sf):
+    """Days filled by three inserts, compacted by one job; the result tells each day's files afterwards."""
+    rows = day_rows(spark, sf)
+    name = _table(spark, sf, "ranged", fill=False)
+    for i in range(3):
+        tables.insert(spark, name, rows.filter(F.pmod(F.hash("id"), F.lit(3)) == i), ["dateid"])
+    days.compact_range(spark, name, 0, 99991231, "year_id")
+    files = days.layout(spark, name, 0, 99991231).groupBy(F.col("dateid").alias("_day")).agg(F.count("*").cast("int").alias("n_files"))
+    return _rows(spark, name).join(files, F.col("dateid") == F.col("_day")).drop("_day")
+
+
 @query("drop_partition", EV + f"select * from ({DAY_ROWS_SQL}) where dateid <> {LAST_DAY}")
 def drop_partition(spark, sf):
     name = _table(spark, sf, "dropped")

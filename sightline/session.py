@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Lookups by name ask a scan for up to so many keys, each of which its statistics are held against.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1024",
 }
 
 
@@ -80,4 +84,22 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark).rstrip('/')}/sightline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark).rstrip('/')}/sightline/{label}-{uuid.uuid4().hex}"
+    if _noted:
+        _noted[-1].append(path)
+    return path
+
+
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The scratch paths handed out within the block, for whoever removes them afterwards."""
+    _noted.append([])
+    try:
+        yield _noted[-1]
+    finally:
+        inner = _noted.pop()
+        if _noted:
+            _noted[-1].extend(inner)

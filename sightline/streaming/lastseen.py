@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
@@ -13,12 +13,15 @@ from pyspark.sql.streaming.state import GroupState
 from sightline import schemas
 from sightline.operators import lastseen
 from sightline.operators.lastseen import SUPPRESSED, step, tracked_key
-from sightline.sources import folders
 from sightline.streaming.run import Batch, Writer
+from sightline.streaming.statetable import StateTable
 
 
-def _update(threshold: int, seconds: str, row_id: str, result: str, columns: list[str]):
+def _update(threshold: int, seconds: str, row_id: str, result: str, columns: list[str], horizon: int | None):
     def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         if key[0] is None or pd.isna(key[0]):
             for rows in chunks:
                 yield rows.assign(**{result: SUPPRESSED})[columns]
@@ -29,10 +32,13 @@ def _update(threshold: int, seconds: str, row_id: str, result: str, columns: lis
         ct, lt = state.get if seen else (0, 0)
         out = []
         for t in distinct[seconds].tolist():
-            delta, ct, lt = step(seen, ct, lt, t, threshold)
+            delta, ct, lt = step(seen, ct, lt, t, threshold, horizon)
             seen = True
             out.append(delta)
         state.update((int(ct), int(lt)))
+        if horizon is not None:
+            # the rule needs no timer; it is what frees the state of entities that do not come back
+            state.setTimeoutTimestamp(max((int(ct) + horizon) * 1000, state.getCurrentWatermarkMs()) + 1)
         yield rows.merge(distinct.assign(**{result: out}), on=[seconds, row_id], how="left")[columns]
     return run
 
@@ -45,6 +51,8 @@ def last_seen_stream(
     threshold: int = schemas.SUPPRESS_SECONDS_V2,
     valid: Column | None = None,
     result: str = "last_captured",
+    horizon: int | None = None,
+    lateness: str = "1 hour",
 ) -> DataFrame:
     """Add the last-seen delta to a stream; same rules as ``operators.lastseen.last_seen``.
 
@@ -52,93 +60,31 @@ def last_seen_stream(
     gives a negative delta and leaves it alone. An entity's rows of one batch are handled
     together, so the batch size is what bounds them: this form is for small, frequent batches
     behind an admission limit. ``last_seen_batches`` has no such bound.
+
+    With ``horizon`` (seconds, at least the threshold) an entity that was last counted longer ago
+    starts anew, and an event-time timer removes its state when the stream has passed that time, so
+    the state store holds the entities of one horizon. Tracked rows that are more than ``lateness``
+    behind the newest one of the batches before are then dropped, as Spark does behind a watermark.
     """
     key = tracked_key(rows, entity, seconds, valid)
+    output = T.StructType(list(rows.schema.fields) + [T.StructField(result, T.LongType())])
+    update = _update(threshold, seconds, row_id, result, output.names, horizon)
+    if horizon is not None:
+        timed = rows.withColumns({"_entity": key, "_spread": F.lit(0), "_at": F.timestamp_seconds(seconds)})
+        tracked = timed.filter("_entity is not null").withWatermark("_at", lateness)
+        deltas = tracked.groupBy("_entity", "_spread").applyInPandasWithState(
+            update, output, "ct bigint, lt bigint", "append", "EventTimeTimeout"
+        )
+        return deltas.union(rows.filter(key.isNull()).withColumn(result, F.lit(SUPPRESSED).cast("bigint")))
     # untracked rows have no state: they make as many groups as there are shuffle partitions
     groups = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.when(key.isNull(), F.pmod(F.xxhash64(row_id), F.lit(groups))).otherwise(F.lit(0))
-    output = T.StructType(list(rows.schema.fields) + [T.StructField(result, T.LongType())])
     keyed = rows.withColumns({"_entity": key, "_spread": spread.cast("int")})
-    return (
-        keyed.groupBy("_entity", "_spread")
-        .applyInPandasWithState(
-            _update(threshold, seconds, row_id, result, output.names), output, "ct bigint, lt bigint",
-            "append", "NoTimeout",
-        )
+    return keyed.groupBy("_entity", "_spread").applyInPandasWithState(
+        update, output, "ct bigint, lt bigint", "append", "NoTimeout"
     )
 
 
-class StateTable:
-    """The entities' state as a table of versions in the shared folder, cut into hash buckets.
-
-    Every handled batch commits one version: the entities that moved, or, every ``full_every``-th
-    time, all of them. A version belongs to a batch of a run, so handling that batch again reads the
-    versions before it and writes the same; any other batch, of this run or a new one, goes on from
-    the last version. One query at a time may write.
-
-    A commit is the folder ``commits/version=…/run=…/number=…``, made after the rows are complete.
-    """
-
-    def __init__(self, path: str, full_every: int = 50, buckets: int = 64):
-        self.path, self.full_every, self.buckets = path.rstrip("/"), full_every, buckets
-
-    def _bucket(self, entity: str = "entity") -> Column:
-        return F.pmod(F.xxhash64(entity), F.lit(self.buckets)).cast("int")
-
-    def _versions(self, spark: SparkSession) -> list[int]:
-        return sorted(int(n.split("=")[1]) for n in folders.names(spark, f"{self.path}/commits"))
-
-    def version_of(self, spark: SparkSession, batch: Batch) -> int:
-        """The version that a batch has committed, or the next one."""
-        versions = self._versions(spark)
-        for version in reversed(versions):
-            if folders.exists(spark, f"{self.path}/commits/version={version}/run={batch.run}/number={batch.number}"):
-                return version
-        return versions[-1] + 1 if versions else 0
-
-    def _stored(self, like: DataFrame, version: int) -> DataFrame | None:
-        """Rows of the versions that the state before ``version`` consists of; only their folders are listed."""
-        spark = like.sparkSession
-        base = (version - 1) // self.full_every * self.full_every
-        parts = [f"{self.path}/data/version={v}" for v in self._versions(spark) if base <= v < version]
-        if not parts:
-            return None
-        schema = T.StructType([*like.schema.fields, T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())])
-        return spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*parts)
-
-    @staticmethod
-    def _newest(stored: DataFrame) -> DataFrame:
-        newest = stored.groupBy("entity").agg(F.max(F.struct("version", "ct", "id", "lt")).alias("s"))
-        return newest.select("entity", "s.id", "s.ct", "s.lt")
-
-    def before(self, like: DataFrame, version: int, entities: DataFrame | None = None) -> DataFrame:
-        """The state (entity, id, ct, lt) before a version; of the given entities (entity) only.
-
-        Their buckets are all that is read, and the rest is dropped before anything is grouped.
-        """
-        stored = self._stored(like, version)
-        if stored is None:
-            return like.sparkSession.createDataFrame([], like.schema)
-        if entities is not None:
-            wanted = [r.b for r in entities.select(self._bucket().alias("b")).distinct().collect()]
-            stored = stored.filter(F.col("bucket").isin(wanted)).join(entities, "entity", "left_semi")
-        return self._newest(stored)
-
-    def write(self, moved: DataFrame, version: int, batch: Batch) -> None:
-        """Commit the entities that a batch has moved, and drop what no later batch can need."""
-        spark, full = moved.sparkSession, version % self.full_every == 0
-        rows = lastseen.merge_state(self.before(moved, version), moved) if full else moved
-        rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(f"{self.path}/data/version={version}")
-        folders.make(spark, f"{self.path}/commits/version={version}/run={batch.run}/number={batch.number}")
-        if full:
-            for old in self._versions(spark):
-                if old < version - self.full_every:
-                    folders.remove(spark, f"{self.path}/commits/version={old}")
-                    folders.remove(spark, f"{self.path}/data/version={old}")
-
-
 def last_seen_batches(
     state: StateTable,
     writers: dict[str, Writer],
@@ -155,22 +101,23 @@ def last_seen_batches(
     state and every writer see the same ones.
     """
     def handle(rows: DataFrame, batch: Batch) -> None:
+        if state.handled(rows.sparkSession, batch):
+            return  # the state is committed last, so the writers have had it
         rows = rows.persist()
         like = rows.select(
             F.col(entity).alias("entity"), F.col(row_id).alias("id"),
             F.col(seconds).alias("ct"), F.lit(0).cast("bigint").alias("lt"),
         )
-        version = state.version_of(rows.sparkSession, batch)
         key = tracked_key(rows, entity, seconds)
         entities = rows.select(key.alias("entity")).filter("entity is not null").distinct()
-        before = state.before(like, version, entities)
+        before = state.before(like, entities)
         deltas = lastseen.last_seen(
             rows, entity, seconds, row_id, threshold, state=before, result=result
         ).persist()
         try:
             for write in writers.values():
                 write(deltas, batch)
-            state.write(lastseen.state_table(deltas, entity, seconds, row_id, result), version, batch)
+            state.write(lastseen.state_table(deltas, entity, seconds, row_id, result), batch)
         finally:
             deltas.unpersist()
             rows.unpersist()

@@ -134,10 +134,10 @@ def test_stream_equals_simulation_over_batches_with_late_rows(spark, folder):
     assert out == simulate(batches)[0]
 
 
-@pytest.mark.parametrize("full_every", [1, 2, 50])
-def test_state_table_equals_simulation_over_batches_with_late_rows(spark, folder, full_every):
+@pytest.mark.parametrize("fan", [2, 3, 50])
+def test_state_table_equals_simulation_over_batches_with_late_rows(spark, folder, fan):
     batches = [random_rows(s, n=120, start_id=1000 * s) for s in (1, 2, 3, 4)]
-    state = streaming.StateTable(f"{folder}/state", full_every)
+    state = streaming.StateTable(f"{folder}/state", fan, buckets=3)
     writers = {"out": lambda df, b: tables.write_batch(df, b, f"{folder}/out")}
     handle = streaming.last_seen_batches(state, writers, threshold=T)
     for i, rows in enumerate(batches):

@@ -1,9 +1,13 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sightline.operators import cells, documents, lists
 from sightline.sinks import indexes, messages, tables
+from sightline.sinks.snapshots import Snapshots
+from sightline.sources import folders
 from sightline.streaming.run import Batch
 
 
@@ -54,6 +58,102 @@ def test_documents_upsert_and_patch(spark, folder):
     assert [tuple(r) for r in patched.orderBy("id").collect()] == [(1, "a", 78), (2, "b", 70), (3, "z", 75)]
 
 
+BODY = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType()), T.StructField("size", T.IntegerType())])
+
+
+def load(spark, first, last, version=1):
+    rows = spark.range(first, last).select(
+        F.col("id").cast("string"), F.concat(F.lit("n"), "id").alias("name"), F.lit(version).alias("size"), (F.col("id") % 3).alias("m")
+    )
+    return documents.to_documents(rows, "id", F.concat(F.lit("pass 2016/0"), "m"), F.lit(version), ["id", "name", "size"])
+
+
+def patches(spark, ids, version, **fields):
+    rows = [(f"pass 2016/0{i % 3}", str(i), version) for i in ids]
+    df = spark.createDataFrame(rows, "index_name string, doc_id string, version bigint")
+    return df.select("*", *[F.lit(v).alias(k) for k, v in fields.items()])
+
+
+def bodies(spark, folder, version=None):
+    rows = indexes.read(spark, folder, version).collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    return {int(r.doc_id): r.body for r in rows}
+
+
+def test_index_loads_patches_and_compactions(spark, folder):
+    indexes.write_monthly(load(spark, 0, 60), Batch("a", 0), folder, 2)
+    indexes.compact(spark, folder)
+    indexes.patch_monthly(patches(spark, [3, 4, 999], 0, name="patched"), BODY, Batch("p", 0), folder)
+    indexes.patch_monthly(patches(spark, [4], 1, size=9).union(patches(spark, [4], 2, size=8)), BODY, Batch("p", 1), folder)
+    indexes.patch_monthly(patches(spark, [4], 1, size=7), BODY, Batch("p", 1), folder)  # replayed
+    before = bodies(spark, folder)
+    assert before[3] == '{"id":"3","name":"patched","size":1}' and before[4] == '{"id":"4","name":"patched","size":8}'
+    assert len(before) == 60
+    base = dict(Snapshots(folder).newest(spark).parts["base"])
+    indexes.compact(spark, folder)
+    assert bodies(spark, folder) == before
+    after = Snapshots(folder).newest(spark).parts
+    # one bucket per patched document was written again, the others are the files they were
+    assert after["fresh"] == [] and sum(after["base"][k] != base[k] for k in base) == 2 and set(after["base"]) == set(base)
+    indexes.write_monthly(load(spark, 50, 70, version=3), Batch("a", 1), folder)
+    assert bodies(spark, folder)[55] == '{"id":"55","name":"n55","size":3}' and len(bodies(spark, folder)) == 70
+
+
+def test_a_reader_stays_on_its_version(spark, folder):
+    indexes.write_monthly(load(spark, 0, 20), Batch("a", 0), folder, 2)
+    indexes.compact(spark, folder)
+    began = Snapshots(folder).newest(spark).version
+    reader = indexes.read(spark, folder)
+    indexes.write_monthly(load(spark, 0, 40, version=2), Batch("a", 1), folder)
+    indexes.compact(spark, folder)
+    assert reader.count() == 20 and {'"size":1' in r.body for r in reader.collect()} == {True}
+    assert bodies(spark, folder, began).keys() == set(range(20))
+
+
+@pytest.mark.parametrize("step", [0, 1, 3, 7])
+def test_a_compaction_cut_off_anywhere_loses_nothing(spark, folder, monkeypatch, step):
+    indexes.write_monthly(load(spark, 0, 30), Batch("a", 0), folder, 2)
+    indexes.compact(spark, folder)
+    indexes.write_monthly(load(spark, 20, 40, version=2), Batch("a", 1), folder)
+    before, calls = bodies(spark, folder), []
+    assert len(before) == 40
+
+    def failing(name):
+        real = getattr(folders, name)
+
+        def call(*args):
+            calls.append(name)
+            if len(calls) == step + 1:
+                raise RuntimeError("lost")
+            return real(*args)
+        return call
+
+    with monkeypatch.context() as patched:
+        for name in ("write_text", "remove"):
+            patched.setattr(folders, name, failing(name))
+        if step == 7:
+            patched.setattr(indexes, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        try:
+            indexes.compact(spark, folder)
+        except RuntimeError:
+            pass
+        assert bodies(spark, folder) == before
+    indexes.compact(spark, folder)
+    assert bodies(spark, folder) == before
+    indexes.write_monthly(load(spark, 40, 45), Batch("a", 2), folder)
+    indexes.compact(spark, folder)
+    assert len(bodies(spark, folder)) == 45
+
+
+def test_a_second_writer_is_refused(spark, folder):
+    table = Snapshots(folder)
+    state = table.newest(spark)
+    table.commit(spark, state, {"a": 1})
+    with pytest.raises(FileExistsError):
+        table.commit(spark, state, {"a": 2})
+    assert table.newest(spark).parts == {"a": 1}
+
+
 def test_search(spark):
     docs = spark.createDataFrame([("p", 68), ("p", 70), ("p", 80), ("q", 69)], "name string, age int")
     term, between = F.col("name") == "p", F.col("age").between(67, 78)

@@ -2,14 +2,16 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sightline.operators import aggregates
 from sightline.operators import lastseen as operators_lastseen
 from sightline.plans import streams
 from sightline.sinks import tables
 from sightline.sources import batch, folders, stream
-from sightline.streaming import lastseen, run
+from sightline.streaming import lastseen, run, statetable
 
 SCHEMA = "id bigint, day int"
 
@@ -107,7 +109,7 @@ def seen(spark, folder, rows, checkpoint, name="in"):
     df = spark.createDataFrame(rows, SIGHTINGS)
     df.coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
     writers = {"d": lambda d, b: tables.write_batch(d, b, f"{folder}/out")}
-    handle = lastseen.last_seen_batches(lastseen.StateTable(f"{folder}/state", full_every=2), writers)
+    handle = lastseen.last_seen_batches(lastseen.StateTable(f"{folder}/state", fan=2), writers)
     run.drain(run.by_batch(stream.files(spark, f"{folder}/{name}", SIGHTINGS, max_files=1), handle, f"{folder}/{checkpoint}"))
     return {r.id: r.last_captured for r in spark.read.parquet(f"{folder}/out").collect()}
 
@@ -137,25 +139,127 @@ def test_the_feed_s_slicing_does_not_change_the_answer(spark, folder):
     rows = [(i, f"entity{rng.randrange(9)}", 1_000_000 + rng.randrange(90) * 2000) for i in range(200)]
     df, answers = spark.createDataFrame(rows, SIGHTINGS), []
     for parts in (1, 2, 5):
-        at = f"{folder}/{parts}"
-        path = streams.by_time(spark, df, "capture_time", f"{at}/in", parts)
-        found = streams._last_seen_over(spark, at, {f"{at}/c": path})
+        found = streams._last_seen_over(spark, f"{folder}/{parts}", {"c": df}, parts)
         answers.append(sorted(map(tuple, found.collect())))
     assert answers[0] == answers[1] == answers[2]
     assert len(answers[0]) == 200
 
 
-def test_only_the_batch_s_entities_are_read_from_the_state(spark, folder):
-    state = lastseen.StateTable(folder)
-    stored = spark.range(200_000).select(
-        F.concat(F.lit("e"), "id").alias("entity"), F.col("id"), F.lit(10).cast("bigint").alias("ct"), F.lit(0).cast("bigint").alias("lt")
-    )
-    state.write(stored, 0, run.Batch("r", 0))
-    wanted = spark.range(0, 200_000, 2_000).select(F.concat(F.lit("e"), "id").alias("entity"))
-    before = state.before(stored, 1, wanted)
-    assert before.count() == 100
-    plan = before._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the aggregation is above the semi join
+STATE = "entity string, id bigint, ct bigint, lt bigint"
+
+
+def entities(spark, first, last, step=1, ct=10):
+    name = F.concat(F.lit("e"), F.col("id").cast("string")).alias("entity")
+    return spark.range(first, last, step).select(name, "id", F.lit(ct).cast("bigint").alias("ct"), F.lit(0).cast("bigint").alias("lt"))
+
+
+def scanned(df):
+    """Rows that the files' scans gave when ``df`` was collected."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans if s.metrics().contains("numOutputRows"))
+
+
+def test_a_batch_reads_its_entities_out_of_a_large_state(spark, folder, conf):
+    conf(spark__sql__adaptive__enabled="false")  # the metrics of the plan as it is
+    state = lastseen.StateTable(folder, fan=2)
+    for n in range(3):  # two runs are merged into buckets, the third stays beside them
+        state.write(entities(spark, n * 400_000, n * 400_000 + 400_000), run.Batch("r", n))
+    for wanted in (entities(spark, 0, 1_200_000, 6_000), entities(spark, 5, 1_200_000, 400_000)):
+        found = state.before(entities(spark, 0, 0), wanted.select("entity"))
+        assert sorted(found.collect()) == sorted(wanted.collect())
+        assert scanned(found) < 0.05 * 1_200_000
+    many = entities(spark, 0, 1_200_000, 100)
+    assert state.before(entities(spark, 0, 0), many.select("entity")).count() == 12_000
+    assert state.before(entities(spark, 0, 0), spark.createDataFrame([("nobody",)], "entity string")).count() == 0
+
+
+def test_more_entities_than_can_be_named(spark, folder, monkeypatch):
+    monkeypatch.setattr(statetable, "NAMED", 5)
+    state = lastseen.StateTable(folder, fan=2, buckets=3)
+    for n in range(3):
+        state.write(entities(spark, n * 50, n * 50 + 60, ct=n), run.Batch("r", n))
+    for wanted in (entities(spark, 0, 160, 20), entities(spark, 0, 200)):
+        found = state.before(entities(spark, 0, 0), wanted.select("entity"))
+        known = {f"e{i}": min(i // 50, 2) for i in range(160)}  # the last batch that had it
+        assert {r.entity: r.ct for r in found.collect()} == {r.entity: known[r.entity] for r in wanted.collect() if r.entity in known}
+
+
+def test_only_full_buckets_are_rewritten(spark, folder):
+    state, like = lastseen.StateTable(folder, fan=2, buckets=4), entities(spark, 0, 0)
+    for n in range(12):  # one entity over and over, another once
+        state.write(entities(spark, 7, 8, ct=n).union(entities(spark, 100 + n, 101 + n)), run.Batch("r", n))
+    parts = state.snapshots.newest(spark).parts
+    assert len(parts["fresh"]) < 2
+    for runs in parts["buckets"].values():
+        levels = [level for level, _ in runs]
+        assert max(levels.count(x) for x in levels) < 2 and max(levels) <= 4
+    assert {r.entity: r.ct for r in state.before(like).collect()} == {"e7": 11, **{f"e{100 + n}": 10 for n in range(12)}}
+    live = {r for runs in parts["buckets"].values() for _, r in runs} | set(parts["fresh"])
+    kept = {path for path, _ in state.snapshots.newest(spark).retired}
+    for name in folders.names(spark, f"{folder}/runs"):
+        assert any(f"runs/{name}" == p or p.startswith(f"runs/{name}/") for p in live | kept)
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_a_state_write_cut_off_anywhere_can_be_tried_again(spark, folder, monkeypatch, step):
+    state, like = lastseen.StateTable(folder, fan=2, buckets=2), entities(spark, 0, 0)
+    state.write(entities(spark, 0, 5, ct=1), run.Batch("r", 0))
+    calls = []
+
+    def failing(name):
+        real = getattr(folders, name)
+
+        def call(*args):
+            calls.append(name)
+            if len(calls) == step + 1:
+                raise RuntimeError("lost")
+            return real(*args)
+        return call
+
+    with monkeypatch.context() as patched:
+        for name in ("write_text", "remove"):
+            patched.setattr(folders, name, failing(name))
+        try:
+            state.write(entities(spark, 3, 9, ct=2), run.Batch("r", 1))
+        except RuntimeError:
+            pass
+    state.write(entities(spark, 3, 9, ct=2), run.Batch("r", 1))
+    assert {r.entity: r.ct for r in state.before(like).collect()} == {f"e{i}": 1 if i < 3 else 2 for i in range(9)}
+    state.write(entities(spark, 0, 1, ct=3), run.Batch("r", 2))
+    assert {r.entity: r.ct for r in state.before(like).collect()}["e0"] == 3
+
+
+def test_a_committed_batch_is_not_written_again(spark, folder):
+    state, done = lastseen.StateTable(folder), []
+    handle = lastseen.last_seen_batches(state, {"out": lambda df, b: done.append(b.number)})
+    rows = spark.createDataFrame([(1, "entity1", 1_000_000)], SIGHTINGS)
+    for number in (0, 0, 1):
+        handle(rows, run.Batch("r", number))
+    assert done == [0, 1]
+
+
+def test_state_of_entities_that_stay_away_is_removed(spark, folder):
+    day = 86_400
+    rows = [(1, "entity1", 1_000_000), (2, "entity2", 1_000_000), (3, "entity1", 1_000_000 + 2 * day), (4, "entity3", 1_000_000 + 9 * day),
+            (5, "entity3", 1_000_000 + 10 * day), (6, "entity2", 1_000_000 + 11 * day), (7, "ab", 0), (8, None, 5), (9, "entity9", None)]
+    schema = StructType.fromDDL(SIGHTINGS)
+    held = []
+    for i in range(0, 6):
+        spark.createDataFrame([rows[i]] + ([*rows[6:]] if i == 0 else []), schema).coalesce(1).write.parquet(f"{folder}/in/b{i}")
+        source = stream.files(spark, f"{folder}/in", SIGHTINGS, recursive=True)
+        query = run.to_files(lastseen.last_seen_stream(source, horizon=3 * day), f"{folder}/out", f"{folder}/ckpt")
+        run.drain(query)
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    out = {r.id: r.last_captured for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert out == {1: 0, 2: 0, 3: 2 * day, 4: 0, 5: day, 6: 0, 7: -1, 8: -1, 9: -1}
+    assert held[1] == 2 and held[-1] <= 2  # entity1 and the old entity2 are gone
+
+
+def test_batch_fold_with_a_horizon(spark):
+    rows = [(1, "entity1", 1_000_000), (2, "entity1", 1_100_000), (3, "entity1", 1_400_001), (4, "entity1", 1_700_001)]
+    found = operators_lastseen.last_seen(spark.createDataFrame(rows, SIGHTINGS), horizon=300_000)
+    assert {r.id: r.last_captured for r in found.collect()} == {1: 0, 2: 100_000, 3: 0, 4: 300_000}
 
 
 def test_admission_limit_makes_several_batches(spark, folder):

@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from sightline.operators import asof, sightings
+from sightline import plans
+from sightline.operators import asof, ordered
 
 SCHEMA = "id bigint, entity string, capture_time bigint"
 DAY = 86_400
@@ -33,14 +35,34 @@ def test_next_sighting_within_limit(spark):
     assert out == {1: 2, 2: None, 3: None}
 
 
-def test_neighbour_before(spark):
-    rows = random_rows(2)
-    timeline = sightings.distinct_seconds(spark.createDataFrame(rows, SCHEMA), "entity", "capture_time", "id")
-    out = sightings.with_neighbour(timeline, F.col("sec"), forward=False).collect()
-    times = {(e, t) for _, e, t in rows if e is not None}
-    assert len(out) == len(times)
-    for r in out:
-        assert r.neighbour == max((t for e, t in times if e == r.entity and t < r.sec), default=None)
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_neighbours_across_partitions(spark, conf, parts):
+    """Groups, and the groups nearest to them, are cut by partition bounds at any place."""
+    conf(spark__sql__shuffle__partitions=parts, spark__sql__adaptive__coalescePartitions__enabled="false")
+    rng = random.Random(parts)
+    rows = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([None, *range(12)]), rng.randrange(200), rng.random() < 0.5) for _ in range(300)]
+    rows += [("hot", 5, i, i % 2 == 0) for i in range(200)]  # one second that fills partitions
+    for forward in (False, True):
+        points = spark.createDataFrame(rows, "entity string, sec bigint, id bigint, seen boolean").withColumn(
+            "row", F.when(~F.col("seen") | (F.col("id") % 2 == 0), F.struct(F.col("entity").alias("e"), F.col("sec").alias("s"), F.col("id").alias("i")))
+        )
+        got = sorted(map(str, map(tuple, ordered.neighbours(points.repartition(4), forward).collect())))
+        want = []
+        for e, s, i, seen in rows:
+            if seen and i % 2:
+                continue
+            known = [(t, j) for x, t, j, w in rows if w and x == e and t is not None and e is not None and s is not None]
+            beyond = [(t, j) for t, j in known if (t > s if forward else t < s)]
+            near = (min if forward else max)((t for t, _ in beyond), default=None)
+            first = min((j for t, j in known if t == s), default=None)
+            want.append((e, s, i, first, near, min((j for t, j in beyond if t == near), default=None)))
+        assert got == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("plan", ["last_seen_lag", "asof_forward"])
+def test_neighbours_take_one_shuffle(spark, plan):
+    df = plans.QUERIES[plan](spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()  # what is left after the ordering
 
 
 def test_running_max_over_chunks(spark):
