@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline import session
+from sightline.sources import folders
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -34,11 +35,45 @@ def stored(df: DataFrame, label: str, rows_to_python: int = 512) -> DataFrame:
 
     What follows does not compute it again, and a lost executor costs only the tasks it ran.
     """
-    spark = df.sparkSession
-    path = session.scratch_path(spark, label)
-    with arrow_rows(spark, rows_to_python):
+    return _stored(df, session.scratch_path(df.sparkSession, label), rows_to_python)
+
+
+def _stored(df: DataFrame, path: str, rows_to_python: int = 512) -> DataFrame:
+    with arrow_rows(df.sparkSession, rows_to_python):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept(result: DataFrame, label: str, spent: list[str]) -> DataFrame:
+    """Store a result and remove the scratch folders (``session.noting``) that it was made from."""
+    path = session.scratch_path(result.sparkSession, label)
+    made = _stored(result, path)
+    for old in spent:
+        if old != path:
+            folders.remove(result.sparkSession, old)
+    spent[:] = [path]
+    return made
+
+
+#: Scratch folders of the pipeline stage that ran last.
+_stage_scratch: list[str] = []
+
+
+@contextmanager
+def stage(spark: SparkSession, docs: DataFrame) -> Iterator[None]:
+    """What a pipeline stage runs in: the scratch of the stage before goes, if ``docs`` is not read from it.
+
+    A stage's result is lazy, so its own scratch has to stay until the caller has written the result;
+    the next stage is given what was written. Stages of a session run one after the other.
+    """
+    read_from = docs.inputFiles()
+    for path in _stage_scratch:
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in read_from):
+            folders.remove(spark, path)
+    _stage_scratch.clear()
+    with session.noting() as made:
+        yield
+    _stage_scratch.extend(made)
 
 
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
@@ -110,34 +145,25 @@ def without(docs: DataFrame, gone: DataFrame, row_id: str, text: str) -> DataFra
     return docs.join(gone, same, "left_anti")
 
 
-def _signature(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0)).alias("h")
-    ).first()
-    return row["n"], row["h"]
-
-
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component): the smallest node each node of ``edges`` (a, b: bigint) can reach.
 
     Large-star and small-star steps (Kiveris et al. 2014) until nothing changes. Every step is a
     minimum per node, combined on the map side, and a join whose hot keys adaptive execution can
-    split; its edges are written to the shared folder. Nothing but two numbers reaches the driver.
+    split; its edges are written to the shared folder.
     Self-links and NULL ends are left out.
     """
     edges = stored(edges.filter("a <> b").selectExpr("greatest(a, b) a", "least(a, b) b").distinct(), label)
-    before = _signature(edges)
-    while before[0]:
+    while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), label)
         large = stored(both.filter("b > a").join(least, "a").selectExpr("b a", "m b").distinct(), label)
         least = stored(large.groupBy("a").agg(F.min("b").alias("m")), label)
         small = large.join(least, "a").selectExpr("explode(array(struct(b a, m b), struct(a a, m b))) e")
-        edges = stored(small.select("e.*").filter("a <> b").distinct(), label)
-        after = _signature(edges)
-        if after == before:
+        before, edges = edges, stored(small.select("e.*").filter("a <> b").distinct(), label)
+        # all edges lead to the least node: neither side has one that the other lacks
+        if edges.join(before, ["a", "b"], "left_anti").isEmpty() and before.join(edges, ["a", "b"], "left_anti").isEmpty():
             break
-        before = after
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 

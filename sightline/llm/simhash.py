@@ -12,8 +12,9 @@ Copies share a fingerprint and enter the trees once.
 
 Near copies (``near_copies``) are texts whose sets of five-word shingles have a Jaccard similarity of
 0.8 or more. At that similarity fingerprints differ in ten bits on average, in more than any radius
-that shards well, so the trees only propose what is close; MinHash bands propose the rest (a link is
-missed with probability (1 - 0.8^4)^40 < 1e-9). Every proposed link is verified exactly.
+that shards well, so the trees only propose what is close. MinHash bands tell which texts can have
+another near copy (one is overlooked with probability (1 - 0.8^4)^40 < 1e-9), and these are joined
+exactly by the rare shingles they share. Every proposed link is verified.
 """
 
 from __future__ import annotations
@@ -23,15 +24,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sightline import session
 from sightline.llm import common
 from sightline.llm.registry import query
 
 WORDS, RADIUS, SEED, BITS = 3, 2, 42, 64
 #: What makes one document go: shingles of this many words, and their least Jaccard similarity.
 KEEP_WORDS, SIMILAR = 5, 0.8
+#: SIMILAR = 4/5 in whole numbers: with sizes m and n, 9 common >= 4 (m + n).
+PARTS = (4, 9)
 #: Trees propose links at this width, the usual one for near copies (Manku et al. 2007).
 KEEP_RADIUS = 3
 #: MinHash bands, and minima in one.
@@ -238,9 +242,10 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch["_text"]:
             hashes = shingles(text, KEEP_WORDS)
             distinct = np.unique(hashes)
-            node = _signed(xxhash.xxh64_intdigest(distinct.tobytes(), SEED))
-            rows.append((node, _signed(_majority(hashes)), bands(distinct)))
-        made = pd.DataFrame(rows, columns=["node", "fp", "keys"])
+            # 128 bits: among 10^10 texts no two of different sets share them
+            whole = xxhash.xxh3_128_intdigest(distinct.tobytes(), SEED)
+            rows.append((_signed(whole >> 64), _signed(whole & (1 << 64) - 1), _signed(_majority(hashes)), bands(distinct)))
+        made = pd.DataFrame(rows, columns=["s1", "s2", "fp", "keys"])
         yield pd.concat([batch[["_id", "digest"]].reset_index(drop=True), made], axis=1)
 
 
@@ -250,66 +255,131 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": batch["node"].to_numpy(), "s": found})
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets (node, s) have a Jaccard similarity of SIMILAR or more."""
-    sizes = sets.select("node", F.size("s").alias("size"))
-    sized = (
-        pairs.join(sizes.withColumnsRenamed({"node": "a", "size": "m"}), "a").join(sizes.withColumnsRenamed({"node": "b", "size": "n"}), "b")
-        .filter(F.least("m", "n") >= SIMILAR * F.greatest("m", "n"))
+def _could_link(x: str, y: str) -> Column:
+    """Whether sets whose first common shingle stands at these places can be SIMILAR; x is no smaller than y.
+
+    With sizes m and n and o shingles in common, o / (m + n - o) >= 4/5 means 9 o >= 4 (m + n), and o
+    is at most what either set has from that place on.
+    """
+    most = F.least(F.col(f"{x}.m") - F.col(f"{x}.i"), F.col(f"{y}.m") - F.col(f"{y}.i"))
+    larger = (F.col(f"{x}.m") > F.col(f"{y}.m")) | ((F.col(f"{x}.m") == F.col(f"{y}.m")) & (F.col(f"{x}.node") > F.col(f"{y}.node")))
+    return larger & F.col(f"{y}.first") & (PARTS[1] * most >= PARTS[0] * (F.col(f"{x}.m") + F.col(f"{y}.m")))
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(token, node, m, i, first): the shingles by which a set (node, s) meets all that are SIMILAR to it.
+
+    A set's shingles are ordered by the number of sets that have them, the rarest first. Sets with a
+    similarity of 4/5 have a shingle in common among the first m - ceil(4 m / 5) + 1 of the larger one and
+    the first n - ceil(8 n / 9) + 1 (``first``) of the smaller one: beyond these places too few are left.
+    Shingles of one set only take up places and give no rows, so what many texts share comes last
+    and only meets where there is little else.
+    """
+    tokens = sets.select("node", F.explode("s").alias("token"))
+    several = common.stored(tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-shared")
+    own = tokens.join(several, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("known"))
+    m, c = F.col("m"), F.size("known")
+    reach = m - F.ceil(m * PARTS[0] / 5) + 1 - (m - c)
+    placed = own.join(sets.select("node", F.size("s").cast("bigint").alias("m")), "node").filter(reach > 0)
+    rows = placed.select("node", "m", (m - c).alias("alone"), F.posexplode(F.slice("known", F.lit(1), reach.cast("int"))).alias("at", "x"))
+    i = (F.col("alone") + F.col("at")).cast("bigint")
+    return rows.select(
+        F.col("x.token").alias("token"), "node", "m", i.alias("i"), (i < m - F.ceil(m * 8 / PARTS[1]) + 1).alias("first")
     )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets have a Jaccard similarity of SIMILAR or more."""
     both = (
-        common.stored(sized, "simhash-sized").join(sets.withColumnsRenamed({"node": "a", "s": "x"}), "a")
-        .join(sets.withColumnsRenamed({"node": "b", "s": "y"}), "b")
+        pairs.join(sets.withColumnsRenamed({"node": "a", "s": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "s": "y"}), "b")
     )
     shared = F.size(F.array_intersect("x", "y"))
-    return common.stored(both.filter(shared >= SIMILAR * (F.col("m") + F.col("n") - shared)).select("a", "b"), "simhash-similar")
+    return common.stored(both.filter(PARTS[1] * shared >= PARTS[0] * (F.size("x") + F.size("y"))).select("a", "b"), "simhash-similar")
+
+
+def _placed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (node) with the component of each node by the links found so far."""
+    joined = common.stored(common.components(links, "simhash-edges"), "simhash-joined")
+    return rows.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
 
+def _still_apart(rows: DataFrame) -> DataFrame:
+    """The rows of tokens whose sets are of several components."""
+    apart = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return common.stored(rows.join(apart.select("token"), "token"), "simhash-open")
 
-def near_copies(docs: DataFrame, text: str, row_id: str) -> DataFrame:
+
+def links(sets: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) that join the same sets (node, s) as all pairs of SIMILAR sets do.
+
+    ``known`` are pairs proposed by other means, verified first. In every bucket of sets that share
+    a prefix shingle the links to two of its members come next, so the copies of one text cost a
+    check or two each; then all pairs that can be SIMILAR by their sizes and places, and that the links
+    so far have not joined.
+    """
+    found = _verified(known.filter("a <> b").selectExpr("least(a, b) a", "greatest(a, b) b").distinct(), sets)
+    rows = common.stored(_placed(prefixes(sets), found), "simhash-prefixes")
+    for leader in (F.min, F.max):
+        rows = _still_apart(rows)
+        tops = rows.groupBy("token").agg(leader(F.struct("node", "m", "i", "first", "component")).alias("t")).select("token", "t.*")
+        x, y = rows.alias("x"), tops.alias("y")
+        could = (F.col("x.component") != F.col("y.component")) & (_could_link("x", "y") | _could_link("y", "x"))
+        pairs = x.join(y, "token").filter(could).selectExpr("least(x.node, y.node) a", "greatest(x.node, y.node) b").distinct()
+        found = found.union(_verified(common.stored(pairs, "simhash-stars"), sets))
+        rows = common.stored(_placed(rows, found), "simhash-prefixes")
+    rows = _still_apart(rows)
+    could = (
+        (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _could_link("x", "y")
+    )
+    pairs = rows.alias("x").join(rows.alias("y"), could).selectExpr("x.node a", "y.node b").distinct()
+    return found.union(_verified(common.stored(pairs, "simhash-rest"), sets))
+
+
+def near_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """(doc_id, digest, component_id) for each row; ``digest`` is xxhash64 of the text.
 
     Rows link if their sets of KEEP_WORDS-word shingles are equal or have a Jaccard similarity of
-    SIMILAR or more. In every bucket of candidates the links to its smallest member are verified
-    first; then all pairs that these have not joined, so near copies of one text cost one check each.
+    SIMILAR or more. BK-trees over the sets' fingerprints propose links first. A set can only be
+    similar to another one if it has a MinHash band in common with one; those that have are joined
+    exactly (``links``). Texts with fewer words than a shingle are one shingle; NULL, empty and blank texts
+    have no shingle and are all one class. Repeated rows link. Rows with a NULL id link like others; a
+    component in which all ids are NULL has the id NULL. Texts of any length are taken whole, an empty
+    table gives an empty result, columns besides the two are not read.
     """
     whole = docs.select(
         F.col(row_id).cast("string").alias("_id"), F.xxhash64(common.whole(text)).alias("digest"), common.whole(text).alias("_text")
     )
-    sketches = whole.mapInPandas(_sketches, "_id string, digest bigint, node bigint, fp bigint, keys array<bigint>")
-    sketches = common.stored(sketches.withColumn("_id", F.col("_id").cast("bigint")).withColumnRenamed("_id", "doc_id"), "simhash-sketches")
-    first = common.stored(
-        sketches.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("digest").alias("digest"), F.min("fp").alias("fp"), F.first("keys").alias("keys")),
-        "simhash-first",
-    )
-    keyed = first.select(F.explode("keys").alias("key"), "node")
-    several = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("top")).filter("n > 1").drop("n")
-    keyed = common.stored(keyed.join(several, "key"), "simhash-buckets")
-    stars = keyed.filter("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b"))
-    tops = common.stored(first.groupBy("fp").agg(F.min("node").alias("top")), "simhash-tops")
-    stars = stars.union(first.join(tops, "fp").filter("node <> top").select("top", "node"))
-    for fps in _shards(tops.select("fp"), KEEP_RADIUS, SHARD):
-        close = common.stored(fps.mapInPandas(_links(KEEP_RADIUS), "a bigint, b bigint"), "simhash-links", 64).toDF("x", "y")
-        ends = close.join(tops.select(F.col("fp").alias("x"), F.col("top").alias("a")), "x").join(tops.select(F.col("fp").alias("y"), F.col("top").alias("b")), "y")
-        stars = stars.union(ends.select("a", "b"))
-    stars = common.stored(stars.selectExpr("least(a, b) a", "greatest(a, b) b").distinct(), "simhash-stars")
-    needed = common.stored(stars.selectExpr("explode(array(a, b)) node").distinct().join(first.select("node", "digest"), "node"), "simhash-needed")
-    texts = whole.select("digest", "_text").join(needed, "digest").dropDuplicates(["node"]).select("node", "_text")
-    sets = common.stored(texts.mapInPandas(_sets, "node bigint, s array<bigint>"), "simhash-sets", 64)
-    links = _similar(stars, sets)
-    joined = common.stored(common.components(links, "simhash-edges"), "simhash-joined")
-    placed = common.stored(
-        keyed.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "simhash-placed"
-    )
-    apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    open_ = common.stored(placed.join(apart, "key"), "simhash-open")
-    rest = (
-        open_.withColumnsRenamed({"node": "a", "component": "p"}).join(open_.withColumnsRenamed({"node": "b", "component": "q"}), "key")
-        .filter("a < b and p <> q").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    )
-    links = links.union(_similar(common.stored(rest, "simhash-rest"), sets))
-    found = common.components(links, "simhash-edges")
-    named = common.stored(common.smallest_ids(first.select("node", "least"), found, "simhash-components"), "simhash-classes")
-    return sketches.join(named, "node").select("doc_id", "digest", "component_id")
+    made = whole.mapInPandas(_sketches, "_id string, digest bigint, s1 bigint, s2 bigint, fp bigint, keys array<bigint>")
+    sketches = common.stored(made.withColumn("_id", F.col("_id").cast("bigint")).withColumnRenamed("_id", "doc_id"), "simhash-sketches")
+    with session.noting() as spent:
+        least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest"))
+        first = sketches.groupBy("s1", "s2").agg(least.alias("x"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+        first = common.stored(
+            first.select("s1", "s2", F.col("x.doc_id").alias("least"), F.col("x.digest").alias("digest"), "fp", "keys")
+            .withColumn("node", F.monotonically_increasing_id()), "simhash-first",
+        )
+        keyed = first.select(F.explode("keys").alias("key"), "node")
+        several = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+        banded = keyed.join(several.select("key"), "key").select("node").distinct()
+        trees = common.stored(first.groupBy("fp").agg(F.min("node").alias("top")), "simhash-tops")
+        close = None
+        for fps in _shards(trees.select("fp"), KEEP_RADIUS, SHARD):
+            some = common.stored(fps.mapInPandas(_links(KEEP_RADIUS), "a bigint, b bigint"), "simhash-links", 64)
+            close = some if close is None else close.union(some)
+        x, y = (trees.select(F.col("fp").alias(c), F.col("top").alias(n)) for c, n in (("a", "x"), ("b", "y")))
+        known = close.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        known = common.stored(known.union(first.join(trees, "fp").filter("node <> top").select("top", "node")), "simhash-known")
+        needed = banded.union(known.selectExpr("explode(array(a, b)) node")).distinct()
+        needed = common.stored(needed.join(first.select("node", "least", "digest"), "node").withColumnRenamed("digest", "_digest"), "simhash-needed")
+        chosen = F.col("_id").cast("bigint").eqNullSafe(F.col("least")) & (F.col("digest") == F.col("_digest"))
+        texts = whole.join(common.sized(needed), chosen).select("node", "_text")
+        sets = texts.mapInPandas(_sets, "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
+        sets = common.stored(sets, "simhash-sets", 64)
+        found = common.components(links(sets, known), "simhash-edges")
+        named = common.smallest_ids(first.select("node", "least"), found, "simhash-components")
+        named = first.select("node", "s1", "s2").join(named, "node").select("s1", "s2", "component_id")
+        named = common.kept(named, "simhash-classes", spent)
+    return sketches.join(named, ["s1", "s2"]).select("doc_id", "digest", "component_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
