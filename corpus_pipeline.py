@@ -18,32 +18,32 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity the trusted texts of their language allow."""
-    session.prepare(spark)
-    return quality.keep_good(docs, common.table(spark, sf_dir, "labels"))
+    with common.stage(session.prepare(spark), docs):
+        return quality.keep_good(docs, common.table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one with the smallest id."""
-    session.prepare(spark)
-    return simhash.keep_one(docs)
+    with common.stage(session.prepare(spark), docs):
+        return simhash.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
-    session.prepare(spark)
-    return decontaminate.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
+    with common.stage(session.prepare(spark), docs):
+        return decontaminate.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks for."""
-    session.prepare(spark)
-    return mixing.mixed(docs)
+    with common.stage(session.prepare(spark), docs):
+        return mixing.mixed(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, and where each document stands in them."""
-    session.prepare(spark)
-    return tokenfiles.encoded(docs)
+    with common.stage(session.prepare(spark), docs):
+        return tokenfiles.encoded(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
