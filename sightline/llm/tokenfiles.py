@@ -1,8 +1,10 @@
 """Token ids in compressed binary files that can be read at any place.
 
 Texts are sorted by id over range partitions (shards), encoded, closed with an end id, and cut into
-blocks of whole documents. A block is compressed by Re-Pair: the most frequent pairs of neighbouring
-ids are replaced by new symbols, again and again; its rules, the length each rule expands to and the
+blocks of whole documents. A block is compressed by Re-Pair: frequent pairs of neighbouring symbols are
+replaced by new symbols, again and again, until no pair stands ``LEAST`` times. A round replaces
+pairs that cannot overlap each other, the most frequent first, and the next one looks only where a
+new symbol or a pair that was left is. A block's rules, the length each rule expands to and the
 remaining symbols are stored. Any range of ids is decoded from the symbols that cover it, found by
 the running sum of expansion lengths.
 
@@ -31,9 +33,8 @@ from sightline.llm.tokens import VOCABULARY, definition_at, encoder
 END = 0
 #: Ids after which a block is closed, and blocks sent between the JVM and Python at once.
 BLOCK, BLOCKS_AT_ONCE = 1 << 20, 4
-#: Rounds of replacing, pairs replaced in a round at most, times a pair must stand in a block, and
-#: how many of the most frequent symbols are considered.
-ROUNDS, PAIRS, LEAST, SYMBOLS = 4, 1024, 16, 768
+#: Times a pair must stand in a block to be replaced; the bits of the hash by which rare pairs are passed over.
+LEAST, SLOT_BITS = 16, 17
 
 SCHEMA = (
     "shard int, block int, before bigint, n_tokens bigint, ids array<string>, lengths binary, "
@@ -41,6 +42,37 @@ SCHEMA = (
 )
 
 
+def _slots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A hash of SLOT_BITS bits of each pair."""
+    mixed = x.astype(np.uint32) * np.uint32(0x9E3779B1) ^ y.astype(np.uint32) * np.uint32(0x85EBCA77)
+    return mixed >> np.uint32(32 - SLOT_BITS)
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of a sorted array and how often each stands."""
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[first], np.diff(np.append(first, len(ordered)))
+
+
+def _apart(left: list[int], right: list[int], slots: list[int]) -> list[int]:
+    """Numbers of pairs, taken in turn, of which no two can overlap and no two have a slot in common."""
+    lefts, rights, taken, out = set(), set(), set(), []
+    for k, (a, b, slot) in enumerate(zip(left, right, slots)):
+        if a not in rights and b not in lefts and slot not in taken:
+            lefts.add(a)
+            rights.add(b)
+            taken.add(slot)
+            out.append(k)
+    return out
+
+
+def _looked_at(old: int, top: int, left: np.ndarray, right: np.ndarray):
+    """Places where a pair can have become frequent or was left: a symbol from ``old`` on, or one of those pairs."""
+    new, lefts, rights = np.zeros(top, dtype=bool), np.zeros(top, dtype=bool), np.zeros(top, dtype=bool)
+    new[old:], lefts[left], rights[right] = True, True, True
+    return lambda x, y: new[x] | new[y] | (lefts[x] & rights[y])
+
+
 class Grammar:
     """Symbols below ``base`` are ids; symbol base + r stands for the pair rules[r]."""
 
@@ -48,37 +80,44 @@ class Grammar:
         self.base, self.rules, self.expansions, self.symbols = base, rules, expansions, symbols
 
     @classmethod
-    def of(cls, ids: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
+    def of(cls, ids: np.ndarray, least: int = LEAST) -> Grammar:
         base = int(ids.max(initial=0)) + 1
-        symbols, rules, lengths = ids.astype(np.int32), np.zeros((0, 2), dtype=np.int32), np.ones(0, dtype=np.int64)
-        for _ in range(rounds):
-            top = base + len(rules)
-            often = np.argsort(-np.bincount(symbols, minlength=top), kind="stable")[:SYMBOLS]
-            rank = np.full(top, -1, dtype=np.int32)
-            rank[often] = np.arange(len(often), dtype=np.int32)
-            ranks = rank[symbols]
-            pair = np.where((ranks[:-1] >= 0) & (ranks[1:] >= 0), ranks[:-1] * len(often) + ranks[1:], len(often) ** 2)
-            counts = np.bincount(pair, minlength=len(often) ** 2)[: len(often) ** 2]
-            best = np.flatnonzero(counts >= least)
-            best = best[np.argsort(-counts[best], kind="stable")][:pairs]
-            if not len(best):
+        symbols, rules, lengths = ids.astype(np.int32), [], np.ones(0, dtype=np.int64)
+        top, places = base, None
+        while len(symbols) > 1:
+            x, y = symbols[:-1], symbols[1:]
+            at = np.arange(len(x)) if places is None else np.flatnonzero(places(x, y))
+            x, y = x[at], y[at]
+            slot = _slots(x, y)
+            some = np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least
+            # of overlapping pairs of one symbol every other one counts, from the left
+            twins = np.flatnonzero(some & (x == y))
+            start = np.concatenate([[True], np.diff(at[twins]) != 1])[: len(twins)]
+            since = np.arange(len(twins)) - np.flatnonzero(start)[np.cumsum(start) - 1]
+            some[twins[since % 2 == 1]] = False
+            at, slot, pair = at[some], slot[some], x[some].astype(np.int64) << 32 | y[some]
+            kinds, counts = _runs(np.sort(pair))
+            kinds = kinds[counts >= least][np.argsort(-counts[counts >= least], kind="stable")]
+            if not len(kinds):
                 break
-            number = np.full(len(often) ** 2 + 1, -1, dtype=np.int32)
-            number[best] = top + np.arange(len(best), dtype=np.int32)
-            new = number[pair]
-            at = np.flatnonzero(new >= 0)
-            # of overlapping pairs every other one is replaced, from the left
-            start = np.concatenate([[True], np.diff(at) != 1])
-            since = np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]
-            at = at[since % 2 == 0]
-            symbols[at] = new[at]
+            left, right = (kinds >> 32).astype(np.int32), (kinds & 0xFFFFFFFF).astype(np.int32)
+            own = _slots(left, right)
+            use = np.array(_apart(left.tolist(), right.tolist(), own.tolist()))
+            wanted, number = np.full(1 << SLOT_BITS, -1, dtype=np.int64), np.zeros(1 << SLOT_BITS, dtype=np.int32)
+            wanted[own[use]], number[own[use]] = kinds[use], top + np.arange(len(use), dtype=np.int32)
+            hit = wanted[slot] == pair
+            symbols[at[hit]] = number[slot[hit]]
             keep = np.ones(len(symbols), dtype=bool)
-            keep[at + 1] = False
+            keep[at[hit] + 1] = False
             symbols = symbols[keep]
-            made = np.stack([often[best // len(often)], often[best % len(often)]], axis=1).astype(np.int32)
-            rules = np.concatenate([rules, made])
+            made = np.stack([left[use], right[use]], axis=1)
+            rules.append(made)
             lengths = np.concatenate([lengths, cls._length(made, base, lengths)])
-        return cls(base, rules, lengths, symbols)
+            rest = np.ones(len(kinds), dtype=bool)
+            rest[use] = False
+            places = _looked_at(top, top + len(use), left[rest], right[rest])
+            top += len(use)
+        return cls(base, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int32), lengths, symbols)
 
     @staticmethod
     def _length(pairs: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
@@ -199,7 +238,7 @@ def read(spark: SparkSession, path: str, row_id: str = "doc_id") -> DataFrame:
 
 
 def encoded(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """Write the files to the shared folder with the standard vocabulary and read them back."""
+    """Write the files to the shared folder with the standard vocabulary and read them back (see ``write``, ``read``)."""
     path = session.scratch_path(docs.sparkSession, "token-files")
     write(docs, path, public_tokenizers.path(VOCABULARY), text, row_id)
     return read(docs.sparkSession, path, row_id)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import public_tokenizers
@@ -28,7 +28,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Context length above which a document is marked, in tokens.
 LIMIT = 512
 #: Pieces a worker remembers (it starts anew beyond them), and the longest piece worth it.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Marks that may follow a word.
 MARKS = ".,;:!?"
 
@@ -40,7 +40,7 @@ class Encoder:
 
     A byte-level vocabulary splits texts by a fixed expression before it merges bytes, and there is
     always a split at a single space or line break between two other characters. So texts are cut
-    there, and every distinct piece goes to the library once. A piece of letters, with a space before
+    there, and a piece goes to the library when it is first seen. A piece of letters, with a space before
     or a mark behind, is one or two units of that split, so it goes to the library's merging directly.
     Texts with other white space are encoded whole, and so is everything by vocabularies that
     normalise or split otherwise.
@@ -59,68 +59,83 @@ class Encoder:
             and not any(x.split() != [x] for x in added) and not any(t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
         )
         self.by_word = self.by_piece and parts["model"]["type"] == "BPE" and not any(x.isalpha() or len(x) == 1 for x in added)
-        self.known: dict[str, bytes] = {}
+        # a line's first word, and the words that a space stands before
+        self.first, self.after_space = Pieces(self._piece), Pieces(self._piece)
         # the library's stand-ins for bytes: printable ones for themselves, the others from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
         self.stand_ins = {b: 256 + i for i, b in enumerate(others)}
         self.space = chr(self.stand_ins[32])
         self.marks = {m: self._whole([m])[0] for m in MARKS}
+        self.line_break = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _word(self, piece: str) -> bytes | None:
-        """Ids of a piece of letters, or None if it is something else."""
-        body = piece[1:] if piece[0] == " " else piece
-        mark = body[-1:] if body[-1:] in self.marks else ""
-        if mark:
-            body, piece = body[:-1], piece[:-1]
-        plain = body.isascii()
-        if not body.isalpha() or not (plain or max(body) < "\u0250"):
-            return None
-        ids = self.known.get(piece) if mark else None
-        if ids is None:
+    def _piece(self, word: str, known: Pieces) -> bytes:
+        """Ids of a piece: ``word`` as ``known`` has it, after a space or first in its line."""
+        lead = " " if known is self.after_space else ""
+        if self.by_word and word:
+            mark = self.marks.get(word[-1])
+            body = word if mark is None else word[:-1]
             # letters of ASCII stand for themselves
-            units = piece.replace(" ", self.space) if plain else piece.encode().decode("latin-1").translate(self.stand_ins)
-            ids = array("I", [t.id for t in self.library.model.tokenize(units)]).tobytes()
-        return ids + self.marks[mark] if mark else ids
-
-    def _pieces(self, text: str) -> list[str]:
-        if not self.by_piece or text.split() != text.replace("\n", " ").split(" "):
-            return [text]
-        return text.replace(" ", "\x1f ").replace("\n", "\x1f\n\x1f").split("\x1f")
-
-    def _look_up(self, texts: list[list[str]]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, rest, passing = self.known, [], []
-        for p in set().union(*texts):
-            if p not in known:
-                ids = self._word(p) if self.by_word and p else None
-                if ids is None:
-                    rest.append(p)
-                else:
-                    known[p] = ids
-                if len(p) > LONGEST:
-                    passing.append(p)
-        known.update(zip(rest, self._whole(rest)))
-        for cut in texts:
-            yield b"".join(map(known.__getitem__, cut))
-        for p in passing:
-            del known[p]
+            if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
+                if mark is not None:
+                    return known[body] + mark
+                units = body if body.isascii() else body.encode().decode("latin-1").translate(self.stand_ins)
+                found = self.library.model.tokenize(self.space + units if lead else units)
+                return array("I", [t.id for t in found]).tobytes()
+        return self._whole([lead + word])[0]
+
+    def _by_words(self, text: str) -> bytes | None:
+        """The ids of a text whose only white space are single spaces and line breaks; None for others."""
+        if (
+            "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+            or not text.replace("\n", "").isprintable()
+        ):
+            return None
+        lines = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            lines.append(self.first[first] + b"".join(map(self.after_space.__getitem__, rest)))
+        for known in (self.first, self.after_space):
+            if len(known) > REMEMBERED:
+                known.clear()
+        return self.line_break.join(lines)
 
     def each(self, texts: Iterable[str], size: int = 2_000_000) -> Iterator[bytes]:
         """The ids of every text as native unsigned 32-bit numbers; about ``size`` characters are held."""
-        held, waiting = 0, []
+        held, done, whole = 0, [], []
         for text in texts:
-            waiting.append(self._pieces(text))
+            ids = b"" if not text else self._by_words(text) if self.by_piece else None
+            if ids is None:
+                whole.append((len(done), text))
+            done.append(ids)
             held += len(text)
             if held >= size:
-                yield from self._look_up(waiting)
-                held, waiting = 0, []
-        yield from self._look_up(waiting)
+                yield from self._complete(done, whole)
+                held, done, whole = 0, [], []
+        yield from self._complete(done, whole)
+
+    def _complete(self, done: list[bytes | None], whole: list[tuple[int, str]]) -> list[bytes]:
+        for (at, _), ids in zip(whole, self._whole([t for _, t in whole])):
+            done[at] = ids
+        return done
+
+
+class Pieces(dict):
+    """Pieces to ids; one that is not known is encoded, and remembered unless it is long."""
+
+    def __init__(self, encode: Callable[[str, Pieces], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.encode(piece, self)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
 
 
 _encoders: dict[str, Encoder] = {}

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -237,6 +238,26 @@ def test_grammar_round_trip_and_random_access():
     assert len(tokenfiles.Grammar.of(np.tile([1, 2, 3], 900).astype(np.uint32)).symbols) < 300
 
 
+def test_no_frequent_pair_is_left():
+    """Repeated passages, runs of one id and prose: what remains has no pair LEAST times, not counting overlaps."""
+    rng = np.random.default_rng(5)
+    passages = [rng.integers(0, 5000, 200) for _ in range(40)]
+    repeated = np.concatenate([passages[i] for i in rng.integers(0, 40, 1500)])
+    for ids in (repeated, np.zeros(70_001, int), np.tile([7, 7, 7, 8], 4000), rng.zipf(1.3, 200_000) % 3000, np.arange(50_000) % 3):
+        ids = ids.astype(np.uint32)
+        grammar = tokenfiles.Grammar.of(ids)
+        assert (grammar.decode() == ids).all()
+        counts, last = Counter(), None
+        for pair in zip(grammar.symbols.tolist(), grammar.symbols[1:].tolist()):
+            last = None if pair[0] == pair[1] and pair == last else pair  # of a run every other place
+            if last:
+                counts[pair] += 1
+        assert max(counts.values(), default=0) < tokenfiles.LEAST
+        at = len(ids) // 3
+        assert (grammar.decode(at, 777) == ids[at : at + 777]).all()
+    assert len(tokenfiles.Grammar.of(repeated.astype(np.uint32)).symbols) < 6000  # 300,000 ids
+
+
 def expected_files(docs, library):
     rows, at = [], 0
     keyed = [(r.doc_id is not None, r.doc_id or 0, r.text or "") for r in docs]
@@ -267,3 +288,13 @@ def test_files_of_odd_rows(spark, folder, library, odd):
 def test_files_of_nothing(spark, folder):
     tokenfiles.write(spark.createDataFrame([], "doc_id bigint, text string"), folder, VOCABULARY)
     assert tokenfiles.read(spark, folder).collect() == []
+
+
+def test_encoding_by_pieces_equals_the_library():
+    encode, rng = tokens.Encoder(tokens.definition_at(VOCABULARY)), np.random.default_rng(8)
+    letters = list("abcdefghij ABC  \n\n\t.,;:!?'\"0123456789-éüßñ中文😀 ​\x1f́_ ")
+    words = ["don't", "it's", "<|endoftext|>", "a.b", "U.S.", "x1", "3.14", "Über", "naïve,", "é", "co-op", "I'll", "'s", "­soft", "ﬁ", "word.", "word"]
+    texts = ["", " ", "\n", "a", "a\nb", "a \nb", " a", "a ", "a  b"]
+    texts += ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(4000)]
+    texts += [str(rng.choice([" ", "\n"])).join(rng.choice(words, rng.integers(1, 12))) for _ in range(4000)]
+    assert list(encode.each(texts, size=5000)) == encode._whole(texts)
