@@ -1,15 +1,18 @@
 """Benchmark decontamination: a BM25 index of the test items, searched by block-max WAND.
 
-Every passage of every training text is a query: windows of twice the longest item's words, half
-overlapping, so that whatever holds an item has it whole in one window. All items are retrieved that
-score above their threshold, and then verified word by word.
+A text holds an item if a passage of it, up to ``STRETCH`` times as long as the item, has enough of the
+item's shingles. Every passage of every training text is searched: windows of twice the longest such
+passage, half overlapping, so that every passage lies whole in one window. Items of about one length have
+an index and windows of their own, so short items are not sought in long windows. All items are retrieved that score above their threshold, and then verified word by word, over all passages of the
+window: an item into which words were put is found wherever it stands.
 
 The threshold of an item is its own score less what a verified passage may lack at most, so nothing
 that would be verified is missed, whatever the weights. Bounds are tested for many windows at once
 (list maxima, then block maxima over blocks of items); WAND runs on the windows that pass.
 
 The index is what is broadcast. Items of more than ``PART_BYTES`` are indexed in parts, one pass over
-the texts each; the parts' results do not depend on the cut, because verification is exact.
+the texts each. What is found does not depend on the cut, because verification is exact and an item's
+passages depend on the item alone; only scores are by the weights of the item's part.
 """
 
 from __future__ import annotations
@@ -28,16 +31,25 @@ from sightline.llm.registry import query
 K1, B = 1.2, 0.75
 #: Words in a shingle, and the part of an item's shingles (and its answer's words) a passage must have.
 SHINGLE, OVERLAP = 5, 0.8
+#: Length of a passage, in lengths of the item.
+STRETCH = 2
 #: Items in a block at least, and blocks at most.
 BLOCK, BLOCKS = 4, 64
 PART_BYTES = 8 << 20
+#: Windows whose block bounds are formed at once.
+WINDOWS = 64
 
 _SPLIT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def words(text: str) -> list[bytes]:
-    """Lower-case words; ASCII punctuation and white space separate them."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_SPLIT).split()
+    """Lower-case runs of letters and digits of any script; all else separates them."""
+    text = text.lower()
+    if not text.isascii():
+        others = [c for c in set(text) if c > "\x7f" and not c.isalnum()]
+        if others:
+            text = text.translate(dict.fromkeys(map(ord, others), " "))
+    return text.encode("utf-8", "surrogatepass").translate(_SPLIT).split()
 
 
 def shingles(found: list[bytes]) -> set[bytes]:
@@ -58,7 +70,8 @@ class Index:
         parts = [p for p in parts if p[1]]
         bags = [Counter(p[1] + p[2]) for p in parts]
         lengths = [sum(b.values()) for b in bags]
-        self.longest = max(lengths, default=0)
+        self.spans = {p[0]: STRETCH * n for p, n in zip(parts, lengths)}
+        self.stride = max(self.spans.values(), default=1)
         average = sum(lengths) / len(lengths) if lengths else 1.0
         self.terms = {w: n for n, w in enumerate(sorted({w for b in bags for w in b}))}
         df = Counter(w for b in bags for w in b)
@@ -102,22 +115,27 @@ class Index:
     def windows(self, terms: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(window, its distinct terms) of a text's windows that some item's bound allows.
 
-        ``terms`` has each word's term, -1 for words of no item; window w starts at word w * longest.
+        ``terms`` has each word's term, -1 for words of no item; window w starts at word w * stride.
         """
         at = np.flatnonzero(terms >= 0)
         if not len(at):
             return
-        own, term = at // self.longest, terms[at]
+        own, term = at // self.stride, terms[at]
         both = np.concatenate([own, own[own > 0] - 1]), np.concatenate([term, term[own > 0]])
         pairs = np.unique(both[0] * len(self.lists) + both[1])
         window, term = pairs // len(self.lists), pairs % len(self.lists)
         first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
         last = np.append(first[1:], len(window))
         slack = 1 + 1e-5
-        for k in np.flatnonzero(np.add.reduceat(self.most[term], first) * slack >= self.floor):
-            found = term[first[k] : last[k]]
-            if (self.block_most[found].sum(axis=0) * slack >= self.block_floor).any():
-                yield int(window[first[k]]), found
+        near = np.flatnonzero(np.add.reduceat(self.most[term], first) * slack >= self.floor)
+        for at in range(0, len(near), WINDOWS):
+            some = near[at : at + WINDOWS]
+            sizes = last[some] - first[some]
+            starts = np.cumsum(sizes) - sizes
+            own = term[np.arange(int(sizes.sum())) + np.repeat(first[some] - starts, sizes)]
+            bounds = np.add.reduceat(self.block_most[own], starts, axis=0)
+            for k in some[(bounds * slack >= self.block_floor).any(axis=1)]:
+                yield int(window[first[k]]), term[first[k] : last[k]]
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """(item number, score) of all items that score what they need, by block-max WAND."""
@@ -160,38 +178,73 @@ class Index:
             c[0] = items[at] if at < len(items) else -1
         cursors[:] = [c for c in cursors if c[0] >= 0]
 
-    def overlaps(self, number: int, passage: list[bytes], have: set[bytes]) -> float:
-        """The lesser of the parts of the question's shingles and the answer's words a passage has."""
-        question = len(self.questions[number] & have) / len(self.questions[number])
-        # an item shorter than a shingle stands whole
-        size = min(len(s.split()) for s in self.questions[number])
-        if size < SHINGLE:
-            run = b" " + b" ".join(passage) + b" "
-            question = float(any(b" " + s + b" " in run for s in self.questions[number]))
-        answer = self.answers[number]
-        return min(question, len(answer & set(passage)) / len(answer) if answer else 1.0)
+    def best(self, number: int, passage: list[bytes]) -> tuple[float, int]:
+        """(overlap, first word) of the passage within these words that has most of an item.
 
-    def search(self, text: str) -> dict[int, tuple[float, float, int]]:
-        """item id: (overlap, score, window) of the items a text holds, each at its best window."""
-        if not self.ids:
-            return {}
-        found = words(text)
-        get = self.terms.get
-        hits: dict[int, tuple[float, float, int]] = {}
-        terms = np.array([get(w, -1) for w in found], dtype=np.int64)
+        The overlap is the lesser of the parts of the question's shingles and of the answer's words. An
+        item shorter than a shingle is one shingle.
+        """
+        question, answer, span = self.questions[number], self.answers[number], self.spans[self.ids[number]]
+        size = min(SHINGLE, min(s.count(b" ") for s in question) + 1)
+        runs = (b" ".join(passage[i : i + size]) for i in range(len(passage) - size + 1))
+        marks = [(i, i + size, 0, run) for i, run in enumerate(runs) if run in question]
+        marks += [(i, i + 1, 1, w) for i, w in enumerate(passage) if w in answer]
+        marks.sort()
+
+        def part(some: list) -> float:
+            found = [len({m[3] for m in some if m[2] == kind}) for kind in (0, 1)]
+            return min(found[0] / len(question), found[1] / len(answer) if answer else 1.0)
+
+        most = (part(marks), 0)
+        if most[0] < self.overlap - 1e-9:
+            return most  # even all of the window is not enough
+        return max(
+            ((part([m for m in marks[k:] if m[1] <= start + span]), -start) for k, (start, *_) in enumerate(marks)
+             if k == 0 or marks[k - 1][0] < start), default=(0.0, 0),
+        )
+
+    def search(self, found: list[bytes], terms: np.ndarray) -> dict[int, tuple[float, int, float]]:
+        """item id: (overlap, first word negative, score) of the items these words hold, each where it has most of it."""
+        hits: dict[int, tuple[float, int, float]] = {}
         for window, own in self.windows(terms):
-            passage, have = None, set()
+            at = window * self.stride
+            passage = None
             for number, score in self.retrieve(own.tolist()):
                 if passage is None:
-                    passage = found[window * self.longest : (window + 2) * self.longest]
-                    have = shingles(passage)
-                part = self.overlaps(number, passage, have)
+                    passage = found[at : at + 2 * self.stride]
+                part, start = self.best(number, passage)
                 if part >= self.overlap - 1e-9:
-                    hit = (part, score, window)
+                    hit = (part, start - at, score)
                     hits[self.ids[number]] = max(hits.get(self.ids[number], hit), hit)
         return hits
 
 
+class Shelf:
+    """An index for the items of every length from a power of two to the next."""
+
+    def __init__(self, items: list[tuple[int, str]], overlap: float = OVERLAP):
+        by_length: dict[int, list[tuple[int, str]]] = {}
+        for item in items:
+            by_length.setdefault(len(words(item[1])).bit_length() // 2, []).append(item)
+        self.indexes = [i for i in (Index(some, overlap) for _, some in sorted(by_length.items())) if i.ids]
+        self.terms = {w: n for n, w in enumerate(sorted({w for i in self.indexes for w in i.terms}))}
+        self.own = []  # of every index: its terms by the shelf's, and -1 at the end for words of no item
+        for index in self.indexes:
+            table = np.full(len(self.terms) + 1, -1, dtype=np.int64)
+            for w, t in index.terms.items():
+                table[self.terms[w]] = t
+            self.own.append(table)
+
+    def search(self, text: str) -> dict[int, tuple[float, float, int]]:
+        """item id: (overlap, score, first word) of the items a text holds."""
+        found, hits = words(text), {}
+        get = self.terms.get
+        terms = np.array([get(w, -1) for w in found], dtype=np.int64)
+        for index, table in zip(self.indexes, self.own):
+            hits |= {i: (part, score, -start) for i, (part, start, score) in index.search(found, table[terms]).items()}
+        return hits
+
+
 def _searched(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
@@ -211,11 +264,12 @@ def leaks(
 ) -> DataFrame:
     """(``row_id``, digest, item_id, overlap, score, passage): every item that a text holds.
 
-    A text holds an item if one passage has at least ``overlap`` of the shingles of five words of the
-    item's question and as much of the words of its answer. ``digest`` is xxhash64 of the text,
-    ``passage`` the number of the best window. Items shorter than a shingle must stand whole; empty
-    and NULL items, and items with a NULL id, are in no text. NULL and empty texts hold nothing, NULL
-    ids stay NULL, repeated rows give repeated results. Texts are read whole.
+    A text holds an item if a passage of STRETCH times the item's words has at least ``overlap`` of the
+    shingles of five words of the item's question and as much of the words of its answer. ``digest``
+    is xxhash64 of the text, ``passage`` the word, from 0, at which the best passage begins (the first of
+    several). Items shorter than a shingle must stand whole; empty and NULL items, and items with a NULL id,
+    are in no text. NULL and empty texts hold nothing, NULL ids stay NULL, repeated rows give repeated
+    results. Texts are read whole. Without items or without texts the result is empty.
     """
     spark = docs.sparkSession
     whole = docs.select(
@@ -227,7 +281,7 @@ def leaks(
     found = []
     for part in range(parts):
         rows = tests.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).orderBy("i", "t").collect()
-        shared = spark.sparkContext.broadcast(Index([(r["i"], r["t"]) for r in rows], overlap))
+        shared = spark.sparkContext.broadcast(Shelf([(r["i"], r["t"]) for r in rows], overlap))
         schema = "_id string, digest bigint, item_id bigint, overlap double, score double, passage bigint"
         found.append(common.stored(whole.mapInPandas(_searched(shared), schema), "leaks"))
     every = found[0]
@@ -237,7 +291,11 @@ def leaks(
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item."""
+    """The rows of ``docs``, with all their columns, that hold no item.
+
+    NULL, empty and very long texts, ties, repeated rows and empty tables are as in ``leaks``: rows that hold
+    nothing stay, equal rows go or stay together.
+    """
     return common.without(docs, leaks(docs, items, text, row_id).select(row_id, "digest").distinct(), row_id, text)
 
 
