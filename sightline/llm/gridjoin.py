@@ -32,10 +32,20 @@ BLOCK, AXES, FAN = 256, 6, 8
 SAMPLE = 4096
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, also those whose squares leave the range of doubles."""
+    with np.errstate(over="ignore"):
+        length = np.linalg.norm(x, axis=1, keepdims=True)
+    odd = ~((length > 1e-140) & (length < 1e140))
+    if odd.any():
+        x = np.where(odd, x / np.abs(x).max(axis=1, keepdims=True), x)
+        length = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / length
+
+
 def axes(sample: list[list[float]], n: int) -> np.ndarray:
     """Leading principal directions as rows; the first coordinates where there is no sample."""
-    x = np.array(sample, dtype=float)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = _unit(np.array(sample, dtype=float))
     found = np.linalg.svd(x - x.mean(axis=0), full_matrices=True)[2]
     return found[:n]
 
@@ -45,8 +55,7 @@ def _projected(by_size: dict[int, np.ndarray], eps: float):
         for batch in batches:
             cells, places = [], []
             for v in batch["v"]:
-                x = np.array(v, dtype=float)
-                x /= np.linalg.norm(x)
+                x = _unit(np.array([v], dtype=float))[0]
                 found = by_size.get(len(x))
                 at = found @ x if found is not None else x[:AXES]
                 at = np.concatenate([at, np.zeros(AXES - len(at))])
@@ -57,8 +66,7 @@ def _projected(by_size: dict[int, np.ndarray], eps: float):
 
 
 def _matrix(rows: pd.Series) -> np.ndarray:
-    x = np.array([list(v) for v in rows], dtype=float)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return _unit(np.array([list(v) for v in rows], dtype=float))
 
 
 def _forest(near: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[int, int]]:

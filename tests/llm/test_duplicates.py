@@ -199,3 +199,13 @@ def test_grid_join_of_nothing_and_of_null_ids(spark):
     rows = [(None, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (None, [0.0, 1.0], 1)]
     got = {tuple(r) for r in gridjoin.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
     assert got == {(None, 1, 3, False), (3, 1, 3, True), (None, 0, None, False)}
+
+
+def test_vectors_of_extreme_lengths_link_by_their_direction(spark):
+    base = np.random.default_rng(2).normal(size=8)
+    other = np.random.default_rng(3).normal(size=8)
+    rows = [(0, base), (1, base * 1e200), (2, base * 1e-200), (3, other * 1e306), (4, other * 1e-300), (5, -base), (6, base * 1e-320)]
+    df = spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in rows], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in gridjoin.near_duplicates(df).collect()}
+    assert {i: got[i] for i in (0, 1, 2)} == {0: (2 + (got[6][1] == 0), 0), 1: (2 + (got[6][1] == 0), 0), 2: (2 + (got[6][1] == 0), 0)}
+    assert got[3] == (1, 3) and got[4] == (1, 3) and got[5] == (0, 5)
