@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sightline import schemas
+from sightline import schemas, session
 from sightline.functions import timecodes, vectors
-from sightline.operators import aggregates, enrich, reconcile
+from sightline.operators import aggregates, digests, enrich, reconcile, sketches
 from sightline.operators import similarity as sim
 from sightline.plans import standins as st
 from sightline.plans.registry import query
 from sightline.sources import batch
+from sightline.streaming.run import Batch
 
 EV = st.with_(st.PASSES_SQL)
 
@@ -105,6 +106,41 @@ def reconcile_missing(spark, sf):
     return reconcile.missing(primary, shadow, "order_key")
 
 
+@query("reconcile_digest", """
+select coalesce(o.k, l.k) as order_key, coalesce(o.n, 0) as n_primary, coalesce(l.n, 0) as n_shadow
+from (select o_orderkey as k, count(*) as n from orders group by 1) o
+full join (select l_orderkey as k, count(*) as n from lineitem group by 1) l on o.k = l.k
+where o.k is null or l.k is null""")
+def reconcile_digest(spark, sf):
+    """The same rows by digests per range of keys and bucket, drilled into where they differ."""
+    root, sides = session.scratch_path(spark, "reconcile"), []
+    for name, column in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        rows = st.table(spark, sf, name).select(F.col(column).alias("order_key"), F.floor(F.col(column) / 4096).cast("int").alias("part"))
+        digests.store(rows, f"{root}/{name}", "order_key", "part", 8)
+        sides.append(digests.read(spark, f"{root}/{name}", rows.withColumn("bucket", F.lit(0))))
+    return digests.missing(*sides, f"{root}/orders", f"{root}/lineitem", "order_key", "part")
+
+
+#: Days that a rolling count goes back, the day itself included.
+ROLLING = 7
+
+
+@query("agg_distinct_rolling", f"""
+with d as (select distinct cast(ts as date) as day, user_id from events)
+select cast(strftime(a.day, '%Y%m%d') as integer) as dateid, count(distinct b.user_id) as n_exact, true as within_error
+from (select distinct day from d) a join d b on b.day between a.day - interval {ROLLING - 1} day and a.day group by 1""")
+def agg_distinct_rolling(spark, sf):
+    """Sketches of two batches, merged; the exact count is stated beside, with whether the estimate is within the error."""
+    rows = st.table(spark, sf, "events").select(F.date_format("ts", "yyyyMMdd").cast("int").alias("dateid"), "user_id")
+    table = sketches.DaySketches(session.scratch_path(spark, "sketches"))
+    early = F.col("dateid") <= 20240115
+    for number, part in enumerate((rows.filter(early), rows.filter(~early), rows.filter(~early))):
+        table.add(part, "dateid", "user_id", Batch("load", min(number, 1)))  # the last one is known
+    exact = sketches.exact_rolling(rows, "dateid", "user_id", ROLLING)
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.ceil(F.col("n_exact") * sketches.ERROR)
+    return table.rolling(spark, ROLLING).join(exact, "day").select(F.col("day").alias("dateid"), "n_exact", near.alias("within_error"))
+
+
 @query("agg_count_star", "select count(*) as n_rows from lineitem")
 def agg_count_star(spark, sf):
     return aggregates.row_count(st.table(spark, sf, "lineitem"))
