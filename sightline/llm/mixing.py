@@ -132,7 +132,11 @@ def plan(
 
 
 def mixed(docs: DataFrame, text: str = "text", row_id: str = "doc_id", source: str = "source", **options) -> DataFrame:
-    """The rows of ``docs``, with all their columns, each as often as ``plan`` takes it."""
+    """The rows of ``docs``, with all their columns, each as often as ``plan`` takes it.
+
+    NULL sources, ids and texts, sources without tokens and empty tables are as in ``plan``; equal rows (same id
+    and text) are each taken that often, and extra columns of any name are kept.
+    """
     seed = options.get("seed", SEED)
     copies = plan(docs, text, row_id, source, **options).groupBy("place").agg(F.max("copies").alias("_copies"))
     copies = common.sized(common.stored(copies.withColumnRenamed("place", "_place"), "mixing-copies"))

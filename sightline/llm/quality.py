@@ -274,7 +274,9 @@ def model(trusted: DataFrame) -> tuple[DataFrame, float]:
 def perplexities(texts: DataFrame, trusted: DataFrame) -> DataFrame:
     """(_id, _lang, _digest, n_grams, perplexity) of every text (_id, _lang, _digest: string, _text).
 
-    ``trusted`` (_text) is what the model is counted on.
+    ``trusted`` (_text) is what the model is counted on. Texts are whole and not NULL; the empty text has the
+    perplexity of its end alone. NULL ids and languages stay NULL, repeated rows are judged row by row, and an
+    empty table of texts gives an empty result; without trusted texts all characters are alike.
     """
     spark = texts.sparkSession
     gains, unknown = model(trusted)
@@ -341,7 +343,11 @@ def judge(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", row_id: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``judge`` keeps."""
+    """The rows of ``docs``, with all their columns, that ``judge`` keeps.
+
+    NULL and empty texts, NULL ids and languages, very long texts and empty tables are as in ``judge``; equal
+    rows (same id and text) go or stay together, and extra columns of any name are kept.
+    """
     rejected = judge(docs, labels, text, row_id, lang).filter("not kept").select(row_id, "digest").distinct()
     return common.without(docs, rejected, row_id, text)
 

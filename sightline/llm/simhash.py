@@ -386,7 +386,8 @@ def keep_one(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> Dat
     """The rows of ``docs``, with all their columns, whose id is the smallest of their near copies'.
 
     Of rows with the same id and text one stays. Rows with a NULL id stay if no id of their
-    component is known, else they go.
+    component is known, else they go. NULL, empty and blank texts are one class, of which one row stays. Texts
+    of any length are taken whole, extra columns of any name are kept, an empty table gives an empty result.
     """
     found = common.stored(near_copies(docs, text, row_id).withColumnRenamed("doc_id", row_id), "simhash-rows")
     own = F.coalesce(F.col(row_id) == F.col("component_id"), F.col("component_id").isNull())

@@ -238,7 +238,11 @@ def read(spark: SparkSession, path: str, row_id: str = "doc_id") -> DataFrame:
 
 
 def encoded(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """Write the files to the shared folder with the standard vocabulary and read them back (see ``write``, ``read``)."""
+    """Write the files to the shared folder with the standard vocabulary and read them back.
+
+    A row for each row of ``docs``: NULL and empty texts are the end id alone, repeated rows are documents of their
+    own, NULL ids come first, texts are encoded whole, other columns do not matter, no rows give none.
+    """
     path = session.scratch_path(docs.sparkSession, "token-files")
     write(docs, path, public_tokenizers.path(VOCABULARY), text, row_id)
     return read(docs.sparkSession, path, row_id)
