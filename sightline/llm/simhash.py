@@ -14,12 +14,17 @@ Near copies (``near_copies``) are texts whose sets of five-word shingles have a
 0.8 or more. At that similarity fingerprints differ in ten bits on average, in more than any radius
 that shards well, so the trees only propose what is close. MinHash bands tell which texts can have
 another near copy (one is overlooked with probability (1 - 0.8^4)^40 < 1e-9), and these are joined
-exactly by the rare shingles they share. Every proposed link is verified.
+exactly by the rare shingles they share. A large group of edited copies meets in shingles that all of
+them share: its members are first held against the ones with the fewest rare shingles, which most are
+similar to. What is left meets pair by pair, but for pairs whose sets' parities differ in more bits
+than similar sets have different shingles. Every proposed link is verified.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -42,6 +47,8 @@ KEEP_RADIUS = 3
 BANDS, MINIMA = 40, 4
 #: Most fingerprints in one tree.
 SHARD = 4000
+#: 64-bit numbers that a set's parities take, and rounds in which the sets of a bucket are held against one of them.
+PARITIES, LEADERS = 8, 3
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -251,8 +258,30 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [np.unique(shingles(t, KEEP_WORDS)).view(np.int64) for t in batch["_text"]]
-        yield pd.DataFrame({"node": batch["node"].to_numpy(), "s": found})
+        found = [np.unique(shingles(t, KEEP_WORDS)) for t in batch["_text"]]
+        made = pd.DataFrame({"node": batch["node"].to_numpy(), "s": [s.view(np.int64) for s in found]})
+        yield made.assign(**dict(zip(PARITY, np.array([parities(s) for s in found]).reshape(-1, PARITIES).T)))
+
+
+PARITY = [f"p{k}" for k in range(PARITIES)]
+
+
+def parities(distinct: np.ndarray) -> np.ndarray:
+    """Bits that say of which of 64 * PARITIES kinds a set of hashes has an odd number.
+
+    Those of two sets differ in at most as many bits as the sets have shingles that are not common.
+    """
+    odd = np.bincount((distinct % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_be_similar(x: str, y: str) -> Column:
+    """Whether the parities of two sets allow them to be SIMILAR.
+
+    With m and n shingles and o in common, 9 o >= 4 (m + n) leaves m + n - 2 o <= (m + n) / 9 that are not common.
+    """
+    apart = reduce(add, [F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY])
+    return PARTS[1] * apart <= F.col(f"{x}.m") + F.col(f"{y}.m")
 
 
 def _could_link(x: str, y: str) -> Column:
@@ -267,7 +296,7 @@ def _could_link(x: str, y: str) -> Column:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, node, m, i, first): the shingles by which a set (node, s) meets all that are SIMILAR to it.
+    """(token, node, m, i, first, *PARITY): the shingles by which a set (node, s, *PARITY) meets all that are SIMILAR to it.
 
     A set's shingles are ordered by the number of sets that have them, the rarest first. Sets with a
     similarity of 4/5 have a shingle in common among the first m - ceil(4 m / 5) + 1 of the larger one and
@@ -280,16 +309,17 @@ def prefixes(sets: DataFrame) -> DataFrame:
     own = tokens.join(several, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("known"))
     m, c = F.col("m"), F.size("known")
     reach = m - F.ceil(m * PARTS[0] / 5) + 1 - (m - c)
-    placed = own.join(sets.select("node", F.size("s").cast("bigint").alias("m")), "node").filter(reach > 0)
-    rows = placed.select("node", "m", (m - c).alias("alone"), F.posexplode(F.slice("known", F.lit(1), reach.cast("int"))).alias("at", "x"))
+    placed = own.join(sets.select("node", F.size("s").cast("bigint").alias("m"), *PARITY), "node").filter(reach > 0)
+    rows = placed.select("node", "m", *PARITY, (m - c).alias("alone"), F.posexplode(F.slice("known", F.lit(1), reach.cast("int"))).alias("at", "x"))
     i = (F.col("alone") + F.col("at")).cast("bigint")
     return rows.select(
-        F.col("x.token").alias("token"), "node", "m", i.alias("i"), (i < m - F.ceil(m * 8 / PARTS[1]) + 1).alias("first")
+        F.col("x.token").alias("token"), "node", "m", i.alias("i"), (i < m - F.ceil(m * 8 / PARTS[1]) + 1).alias("first"), *PARITY
     )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sets have a Jaccard similarity of SIMILAR or more."""
+    sets = sets.select("node", "s")
     both = (
         pairs.join(sets.withColumnsRenamed({"node": "a", "s": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "s": "y"}), "b")
     )
@@ -309,29 +339,42 @@ def _still_apart(rows: DataFrame) -> DataFrame:
     return common.stored(rows.join(apart.select("token"), "token"), "simhash-open")
 
 
+def _with_main(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``main``: whether a set is of the component that most sets of its bucket are of."""
+    sizes = rows.groupBy("token", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("token").agg(F.max(F.struct("n", "component")).alias("x")).select("token", F.col("x.component").alias("_most"))
+    return rows.join(most, "token").withColumn("main", F.col("component") == F.col("_most")).drop("_most")
+
+
 def links(sets: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) that join the same sets (node, s) as all pairs of SIMILAR sets do.
+    """Pairs (a, b) that join the same sets (node, s, *PARITY) as all pairs of SIMILAR sets do.
 
     ``known`` are pairs proposed by other means, verified first. In every bucket of sets that share
-    a prefix shingle the links to two of its members come next, so the copies of one text cost a
-    check or two each; then all pairs that can be SIMILAR by their sizes and places, and that the links
-    so far have not joined.
+    a prefix shingle come next the links to the set with the fewest rare shingles, which the edited copies
+    of a text are most likely to be similar to, so they cost a check or two each; then, LEADERS - 1 times, the
+    links to the one with the fewest among those outside the bucket's main component. Then come all pairs
+    that can be SIMILAR by their sizes, places and parities and that the links so far have not joined; the sets of
+    a bucket's main component meet only the others there, not each other.
     """
     found = _verified(known.filter("a <> b").selectExpr("least(a, b) a", "greatest(a, b) b").distinct(), sets)
     rows = common.stored(_placed(prefixes(sets), found), "simhash-prefixes")
-    for leader in (F.min, F.max):
+    for turn in range(LEADERS):
         rows = _still_apart(rows)
-        tops = rows.groupBy("token").agg(leader(F.struct("node", "m", "i", "first", "component")).alias("t")).select("token", "t.*")
+        led = rows if turn == 0 else _with_main(rows).filter(~F.col("main"))
+        row, rare = F.struct("node", "m", "i", "first", "component", *PARITY), F.struct(F.col("i") / F.col("m"), "node")
+        tops = led.groupBy("token").agg(F.min_by(row, rare).alias("t")).select("token", "t.*")
         x, y = rows.alias("x"), tops.alias("y")
-        could = (F.col("x.component") != F.col("y.component")) & (_could_link("x", "y") | _could_link("y", "x"))
+        could = (F.col("x.component") != F.col("y.component")) & _may_be_similar("x", "y") & (_could_link("x", "y") | _could_link("y", "x"))
         pairs = x.join(y, "token").filter(could).selectExpr("least(x.node, y.node) a", "greatest(x.node, y.node) b").distinct()
         found = found.union(_verified(common.stored(pairs, "simhash-stars"), sets))
         rows = common.stored(_placed(rows, found), "simhash-prefixes")
-    rows = _still_apart(rows)
+    rows = common.stored(_with_main(_still_apart(rows)), "simhash-prefixes")
+    x, y = rows.filter(~F.col("main")).alias("x"), rows.alias("y")
     could = (
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _could_link("x", "y")
+        (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
+        & (F.col("y.main") | (F.col("x.node") > F.col("y.node"))) & _may_be_similar("x", "y") & (_could_link("x", "y") | _could_link("y", "x"))
     )
-    pairs = rows.alias("x").join(rows.alias("y"), could).selectExpr("x.node a", "y.node b").distinct()
+    pairs = x.join(y, could).selectExpr("least(x.node, y.node) a", "greatest(x.node, y.node) b").distinct()
     return found.union(_verified(common.stored(pairs, "simhash-rest"), sets))
 
 
@@ -373,7 +416,8 @@ def near_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id") ->
         needed = common.stored(needed.join(first.select("node", "least", "digest"), "node").withColumnRenamed("digest", "_digest"), "simhash-needed")
         chosen = F.col("_id").cast("bigint").eqNullSafe(F.col("least")) & (F.col("digest") == F.col("_digest"))
         texts = whole.join(common.sized(needed), chosen).select("node", "_text")
-        sets = texts.mapInPandas(_sets, "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
+        kinds = ", ".join(["node bigint, s array<bigint>", *(f"{p} bigint" for p in PARITY)])
+        sets = texts.mapInPandas(_sets, kinds).groupBy("node").agg(*[F.first(c).alias(c) for c in ("s", *PARITY)])
         sets = common.stored(sets, "simhash-sets", 64)
         found = common.components(links(sets, known), "simhash-edges")
         named = common.smallest_ids(first.select("node", "least"), found, "simhash-components")

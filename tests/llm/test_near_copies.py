@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,30 @@ def test_a_crowd_around_one_passage_makes_few_candidates(spark, prose, reachable
     assert sum(candidates) < 20 * len(rows)
 
 
+def test_edited_copies_of_one_text_make_few_candidates(spark, prose, reachable, candidates):
+    """A pair for a pair would be 300 times the rows; most are just above or below the limit."""
+    rng, base = random.Random(7), prose(150, 7).split()
+    rows = []
+    for i in range(600):
+        text = list(base)
+        for _ in range(rng.randrange(7)):
+            text[rng.randrange(150)] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    rng.shuffle(rows)
+    assert found(spark.createDataFrame(rows, SCHEMA).repartition(5)) == brute(rows, reachable)
+    assert sum(candidates) < 5 * len(rows)
+
+
+def test_parities_never_pass_over_similar_sets():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 5, 100, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for gone in {0, n // 20, n // 9, n}:
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, gone // 2, dtype=np.uint64)]))
+            apart = sum(int(x ^ y).bit_count() for x, y in zip(*(simhash.parities(s).view(np.uint64) for s in (a, b))))
+            assert apart <= len(np.setxor1d(a, b))
+
+
 def test_all_pairs_of_texts_and_groups(spark, prose, reachable, documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     assert found(documents) == brute(rows, reachable)
