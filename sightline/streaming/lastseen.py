@@ -17,6 +17,12 @@ from sightline.streaming.run import Batch, Writer
 from sightline.streaming.statetable import StateTable
 
 
+def _by_time(row: tuple) -> tuple:
+    """Sorts (second, whether the id is unknown, id, place) with unknown ids last."""
+    t, unknown, i, _ = row
+    return (t, unknown, 0) if unknown else (t, unknown, i)
+
+
 def _update(threshold: int, seconds: str, row_id: str, result: str, columns: list[str], horizon: int | None):
     def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -26,20 +32,25 @@ def _update(threshold: int, seconds: str, row_id: str, result: str, columns: lis
             for rows in chunks:
                 yield rows.assign(**{result: SUPPRESSED})[columns]
             return
-        rows = pd.concat(list(chunks), ignore_index=True)
-        distinct = rows[[seconds, row_id]].drop_duplicates().sort_values([seconds, row_id])
+        # numbers, not tables: most groups are a few rows, and there is a group for each entity and batch
+        held = list(chunks)
+        rows = held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+        times, ids = rows[seconds].tolist(), rows[row_id].tolist()
+        order = sorted(zip(times, map(pd.isna, ids), ids, range(len(ids))), key=_by_time)
         seen = state.exists
         ct, lt = state.get if seen else (0, 0)
-        out = []
-        for t in distinct[seconds].tolist():
-            delta, ct, lt = step(seen, ct, lt, t, threshold, horizon)
-            seen = True
-            out.append(delta)
+        out, last = [0] * len(ids), None
+        for t, unknown, i, at in order:
+            one = (t, unknown, None if unknown else i)
+            if one != last:  # repeated rows have one result
+                delta, ct, lt = step(seen, ct, lt, t, threshold, horizon)
+                seen, last = True, one
+            out[at] = delta
         state.update((int(ct), int(lt)))
         if horizon is not None:
             # the rule needs no timer; it is what frees the state of entities that do not come back
             state.setTimeoutTimestamp(max((int(ct) + horizon) * 1000, state.getCurrentWatermarkMs()) + 1)
-        yield rows.merge(distinct.assign(**{result: out}), on=[seconds, row_id], how="left")[columns]
+        yield rows.assign(**{result: out})[columns]
     return run
 
 

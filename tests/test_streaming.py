@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -256,6 +257,42 @@ def test_state_of_entities_that_stay_away_is_removed(spark, folder):
     assert held[1] == 2 and held[-1] <= 2  # entity1 and the old entity2 are gone
 
 
+class Held:
+    """A state as an update sees it."""
+
+    def __init__(self):
+        self.get, self.exists, self.hasTimedOut = None, False, False
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+
+@pytest.mark.parametrize("horizon", [None, 600])
+def test_an_update_makes_no_tables_besides_its_rows(monkeypatch, horizon):
+    """Unordered rows, repeated ones and unknown ids in several chunks, against the rule row by row."""
+    def none(*args, **kwargs):
+        raise AssertionError("a table operation per group")
+
+    rng = random.Random(3)
+    batches = [[(rng.choice([None, *range(8)]), 1000 + rng.randrange(40 * (b + 1)) * 30) for _ in range(25)] for b in range(4)]
+    with monkeypatch.context() as m:
+        for name in ("merge", "drop_duplicates", "sort_values"):
+            m.setattr(pd.DataFrame, name, none)
+        monkeypatch.setattr(Held, "setTimeoutTimestamp", lambda s, t: None, raising=False)
+        monkeypatch.setattr(Held, "getCurrentWatermarkMs", lambda s: 0, raising=False)
+        update = lastseen._update(120, "sec", "id", "delta", ["id", "sec", "delta"], horizon)
+        state, seen, ct, lt = Held(), False, 0, 0
+        for batch in batches:
+            chunks = [pd.DataFrame(part, columns=["id", "sec"]) for part in (batch[:10], batch[10:])]
+            found = pd.concat(list(update(("entity1",), iter(chunks), state)))
+            want = {}
+            for t, unknown, i in sorted({(t, i is None, i or 0) for i, t in batch}):
+                want[(t, None if unknown else i)], ct, lt = operators_lastseen.step(seen, ct, lt, t, 120, horizon)
+                seen = True
+            got = [(t, None if pd.isna(i) else int(i), d) for i, t, d in found.itertuples(index=False)]
+            assert got == [(t, i, want[(t, i)]) for i, t in batch]
+
+
 def test_batch_fold_with_a_horizon(spark):
     rows = [(1, "entity1", 1_000_000), (2, "entity1", 1_100_000), (3, "entity1", 1_400_001), (4, "entity1", 1_700_001)]
     found = operators_lastseen.last_seen(spark.createDataFrame(rows, SIGHTINGS), horizon=300_000)
