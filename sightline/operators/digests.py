@@ -2,7 +2,8 @@
 
 A stored table keeps, for every part (a day, say) and hash bucket, the number of its keys and a 128-bit
 digest of them that does not depend on their order or on copies. Two tables are compared by these small
-tables first; rows are read only from the buckets in which they differ.
+tables first; rows are read only from the buckets in which they differ. Buckets are folders and rows are
+in the order of their parts within, so there are as many files as there is data for, however many parts.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections import defaultdict
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.operators import reconcile
@@ -31,7 +32,9 @@ def store(rows: DataFrame, path: str, key: str, part: str, buckets: int = 64) ->
     """Write a table in parts and buckets, and its digests from what was written."""
     path = path.rstrip("/")
     placed = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    placed.hint("rebalance", part, "bucket").write.partitionBy(part, "bucket").parquet(f"{path}/rows")
+    # the rows of a large part are dealt by their key and contents
+    dealt = placed.repartitionByRange("bucket", part, key, F.xxhash64(*rows.columns))
+    dealt.sortWithinPartitions("bucket", part).write.partitionBy("bucket").parquet(f"{path}/rows")
     digests(read(rows.sparkSession, path, placed), key, part).write.parquet(f"{path}/digests")
 
 
@@ -50,20 +53,25 @@ def differing(spark: SparkSession, one: str, other: str, part: str) -> DataFrame
 
 
 def within(rows: DataFrame, apart: DataFrame, part: str) -> DataFrame:
-    """The rows of the given (part, bucket); named to the scan, the other folders are not listed in its plan."""
+    """The rows of the given (part, bucket), which are named to the scan."""
     named = apart.limit(NAMED + 1).collect()
     if not named:
         return rows.filter(F.lit(False))
     if len(named) > NAMED:
         side = apart.withColumnsRenamed({part: "_part", "bucket": "_bucket"})
         return rows.join(side, rows[part].eqNullSafe(side["_part"]) & (rows["bucket"] == side["_bucket"]), "left_semi")
-    by_part = defaultdict(list)
+    by_bucket = defaultdict(list)
     for row in named:
-        by_part[row[part]].append(row["bucket"])
-    terms = [F.col(part).eqNullSafe(F.lit(p)) & F.col("bucket").isin(b) for p, b in by_part.items()]
-    while len(terms) > 1:
-        terms = [reduce(or_, terms[i : i + 2]) for i in range(0, len(terms), 2)]
-    return rows.filter(terms[0])
+        by_bucket[row["bucket"]].append(row[part])
+    terms = [(F.col("bucket") == b) & _one_of(part, parts) for b, parts in by_bucket.items()]
+    # the scan passes over folders by the one, over row groups and pages by the other
+    found = F.col("bucket").isin(list(by_bucket)) & _one_of(part, sorted({row[part] for row in named}, key=lambda p: (p is None, p)))
+    return rows.filter(found).filter(reduce(or_, terms))
+
+
+def _one_of(part: str, values: list) -> Column:
+    known = F.col(part).isin([v for v in values if v is not None])
+    return known | F.col(part).isNull() if None in values else known
 
 
 def missing(primary: DataFrame, shadow: DataFrame, one: str, other: str, key: str, part: str) -> DataFrame:

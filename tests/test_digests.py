@@ -34,6 +34,14 @@ def test_only_differing_buckets_are_read(spark, folder):
     assert "bucket" in near._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:400]
 
 
+def test_files_do_not_grow_with_the_number_of_parts(spark, folder):
+    rows = [(f"k{i}", i % 150, i) for i in range(1500)]
+    one, two = stored(spark, rows, f"{folder}/a", 4), stored(spark, rows[::3], f"{folder}/b", 4)
+    assert one.select(F.input_file_name()).distinct().count() < 60
+    got = digests.missing(one, two, f"{folder}/a", f"{folder}/b", "key", "day")
+    assert {r.key for r in got.collect()} == {r[0] for i, r in enumerate(rows) if i % 3}
+
+
 def test_equal_tables_read_no_rows_and_many_differences_are_joined(spark, folder, monkeypatch):
     rows = [(f"k{i}", 20240101 + i % 3, i) for i in range(300)]
     one, two = stored(spark, rows, f"{folder}/a"), stored(spark, rows[::-1], f"{folder}/b")
