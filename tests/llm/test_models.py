@@ -213,6 +213,35 @@ def test_gains_and_scores_follow_the_definition(spark, prose):
     assert a == b
 
 
+def test_shared_model_backs_off_through_shorter_histories(spark, prose):
+    """Against the recursion over sets of histories; after every history the characters' shares sum to 1."""
+    longest, grams = 3, {b for _, t, _ in toxic_rows(prose, 60) for w in toxicity.words(t) for b in toxicity.beginnings(w)}
+    longer, counts, d = {(toxicity.START + g[:-1], g[-1]) for g in grams}, [], []
+    for k in range(longest, -1, -1):
+        level = defaultdict(int)
+        for h, c in longer:
+            if len(h) > k:
+                level[h[len(h) - k :], c] += 1
+        counts.insert(0, level)
+        d.insert(0, [0.0, *toxicity.discounts(*[float(sum(n == i for n in level.values())) for i in (1, 2, 3, 4)])])
+        longer = {(h[-k:] if k else "", c) for h, c in longer}
+    symbols = {c for _, c in counts[0]}
+
+    def share(h, c, k):
+        if k < 0:
+            return 1 / len(symbols)
+        own = {x: counts[k][h, x] for x in symbols if (h, x) in counts[k]}
+        left = sum(d[k][min(n, 3)] for n in own.values())
+        return (own.get(c, 0) - d[k][min(own.get(c, 0), 3)] + left * share(h[1:], c, k - 1)) / sum(own.values())
+
+    rows = spark.createDataFrame([(g[:-1], g[-1]) for g in grams], "history string, last string")
+    got = {(r.after, r["last"]): r.share for r in toxicity.shared(rows, longest).collect()}
+    assert got.keys() == {x for level in counts for x in level} and {len(h) for h, _ in got} == {0, 1, 2, 3}
+    assert all(abs(v - share(h, c, len(h))) < 1e-9 for (h, c), v in got.items())
+    for h in list(dict.fromkeys(h for h, _ in got))[:50]:
+        assert abs(sum(share(h, c, len(h)) for c in symbols) - 1) < 1e-9
+
+
 def test_parts_have_what_their_words_need(spark):
     table = {toxicity.beginnings(w)[k]: float(k) for w in ("abcdefgh", "abcdefxy", "abcxyz", "zzzzzzzzz", "ab") for k in range(len(w) + 1)}
     df = spark.createDataFrame(list(table.items()), "gram string, gain double")
