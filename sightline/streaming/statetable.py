@@ -84,7 +84,7 @@ class StateTable:
                 wanted[row.bucket].append(row.entity)
             runs = [run for bucket in wanted for _, run in parts["buckets"].get(str(bucket), [])]
             # a bucket's names are held against the pages of that bucket only
-            terms = [(F.col("bucket") == bucket) & F.col("entity").isin(names) for bucket, names in wanted.items()]
+            terms = [self._named(bucket, names) for bucket, names in wanted.items()]
             while len(terms) > 1:
                 terms = [reduce(or_, terms[i: i + 2]) for i in range(0, len(terms), 2)]
             rows = self._scan(like, [*parts["fresh"], *runs]).filter(terms[0])
@@ -151,6 +151,12 @@ class StateTable:
         schema = T.StructType([*like.schema.fields, *added])
         return like.sparkSession.read.schema(schema).parquet(*[f"{self.path}/{run}" for run in runs])
 
+    @staticmethod
+    def _named(bucket: int, names: list[str]) -> Column:
+        """Whether a row is one of the names' in a bucket; one expression, as ``isin`` calls the JVM for every name."""
+        texts = ", ".join(f"cast(X'{name.encode().hex()}' as string)" for name in names)
+        return F.expr(f"bucket = {bucket} and entity in ({texts})")
+
     @staticmethod
     def _newest(rows: DataFrame, *more: str) -> DataFrame:
         """The row of each entity that the last version wrote."""

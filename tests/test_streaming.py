@@ -324,3 +324,20 @@ def test_observed_counts(spark):
     rows, metrics = aggregates.observed(spark.range(10), "counts", even=F.col("id") % 2 == 0)
     rows.write.format("noop").mode("overwrite").save()
     assert metrics.get == {"n_rows": 10, "even": 5}
+
+
+def test_asking_for_names_does_not_call_the_jvm_for_each(spark, folder, monkeypatch):
+    """3,000 names, odd ones among them, in a few hundred calls; all of them are found, and no other."""
+    odd = ["", "it's", "back\\slash", "E无", "a\nb", "%_"]
+    names = [*odd, *(f"E{i:06d}" for i in range(3000))]
+    rows = spark.createDataFrame([(n, k, 100 + k, 0) for k, n in enumerate(names)], "entity string, id bigint, ct bigint, lt bigint")
+    table = statetable.StateTable(f"{folder}/state", fan=2, buckets=8)
+    table.write(rows, run.Batch("r", 0))
+    table.write(rows.filter("id < 10"), run.Batch("r", 1))
+    asked = rows.filter("id <> 7").select("entity")
+    calls, client = [], spark.sparkContext._gateway._gateway_client
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: (calls.append(1), send(*a, **k))[1])
+    found = table.before(rows, asked)
+    assert len(calls) < 1500
+    assert sorted(r.id for r in found.collect()) == [k for k in range(len(names)) if k != 7]
