@@ -30,8 +30,8 @@ from sightline.llm.registry import query
 #: A gram is 21 bits per character. These are no characters: start, end, and heads of shorter grams.
 BITS = 21
 START, END, HEAD2, HEAD1 = 0x110000, 0x110001, 0x110002, 0x110003
-#: Characters handled at once in a task.
-BLOCK = 2_000_000
+#: Characters handled at once in a task; their grams take some 150 bytes each.
+BLOCK = 500_000
 #: Least number of model shards, and most grams in one.
 SHARDS, SHARD_GRAMS = 8, 100_000
 #: Rows to Python at once: each may carry a model shard (1.2 MB at most).

@@ -186,6 +186,7 @@ def _encoded(definition: str, block: int):
                     number, before, held, ids, parts, lengths = number + 1, before + held, 0, [], [], []
         if ids:
             yield closed()
+        encode.forget()
     return run
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -420,3 +421,18 @@ def test_pipeline_stages(spark, documents):
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).orderBy("start").collect()
     assert len(out) == kept[-1]
     assert [r.start for r in out] == [0, *np.cumsum([r.n_tokens for r in out])[:-1].tolist()]
+
+
+def test_the_grams_of_a_task_take_bounded_memory():
+    """Four million characters: the arrays of one block at a time, under 100 MB."""
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4000))) for _ in range(1000)]
+    batches = [pd.DataFrame({"_text": texts[i : i + 100]}) for i in range(0, 1000, 100)]
+    tracemalloc.start()
+    try:
+        counted = sum(int(rows["n"].sum()) for rows in quality._trusted_grams(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counted == 1000 * 4001
+    assert peak < 100e6
