@@ -27,8 +27,8 @@ from sightline.sources import folders
 VOCABULARY = "byte_bpe_50k.json"
 #: Context length above which a document is marked, in tokens.
 LIMIT = 512
-#: New pieces after which a worker forgets those it has not met since it last did; the longest piece worth remembering.
-REMEMBERED, LONGEST = 150_000, 64
+#: Pieces a worker remembers (it starts anew beyond them), and the longest piece worth it.
+REMEMBERED, LONGEST = 400_000, 64
 #: Marks that may follow a word.
 MARKS = ".,;:!?"
 
@@ -101,14 +101,13 @@ class Encoder:
             lines.append(self.first[first] + b"".join(map(self.after_space.__getitem__, rest)))
         for known in (self.first, self.after_space):
             if len(known) > REMEMBERED:
-                known.put_by()
+                known.clear()
         return self.line_break.join(lines)
 
     def forget(self) -> None:
         """Give back what the pieces take; a worker lives on after its task."""
-        for known in (self.first, self.after_space):
-            known.clear()
-            known.before = {}
+        self.first.clear()
+        self.after_space.clear()
 
     def each(self, texts: Iterable[str], size: int = 2_000_000) -> Iterator[bytes]:
         """The ids of every text as native unsigned 32-bit numbers; about ``size`` characters are held."""
@@ -135,21 +134,14 @@ class Pieces(dict):
 
     def __init__(self, encode: Callable[[str, Pieces], bytes]):
         super().__init__()
-        self.encode, self.before = encode, {}
+        self.encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.before.get(piece)
-        if ids is None:
-            ids = self.encode(piece, self)
+        ids = self.encode(piece, self)
         if len(piece) <= LONGEST:
             self[piece] = ids
         return ids
 
-    def put_by(self) -> None:
-        """Begin anew; a piece that was known is remembered if it is met once more before the next time."""
-        self.before = self.copy()
-        self.clear()
-
 
 _encoders: dict[str, Encoder] = {}
 
