@@ -45,7 +45,19 @@ SCHEMA = (
 def _slots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """A hash of SLOT_BITS bits of each pair."""
     mixed = x.astype(np.uint32) * np.uint32(0x9E3779B1) ^ y.astype(np.uint32) * np.uint32(0x85EBCA77)
-    return mixed >> np.uint32(32 - SLOT_BITS)
+    return (mixed >> np.uint32(32 - SLOT_BITS)).astype(np.intp)
+
+
+def _packed(x: np.ndarray, y: np.ndarray, top: int) -> np.ndarray:
+    """Each pair of symbols below ``top`` as one number, in 32 bits where they suffice."""
+    if top <= 1 << 16:
+        return x.astype(np.uint32) << np.uint32(16) | y.astype(np.uint32)
+    return x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64)
+
+
+def _unpacked(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    half = pairs.dtype.type(4 * pairs.itemsize)
+    return (pairs >> half).astype(np.int32), (pairs & ((pairs.dtype.type(1) << half) - pairs.dtype.type(1))).astype(np.int32)
 
 
 def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,11 +78,16 @@ def _apart(left: list[int], right: list[int], slots: list[int]) -> list[int]:
     return out
 
 
-def _looked_at(old: int, top: int, left: np.ndarray, right: np.ndarray):
+def _looked_at(symbols: np.ndarray, old: int, top: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Places where a pair can have become frequent or was left: a symbol from ``old`` on, or one of those pairs."""
-    new, lefts, rights = np.zeros(top, dtype=bool), np.zeros(top, dtype=bool), np.zeros(top, dtype=bool)
-    new[old:], lefts[left], rights[right] = True, True, True
-    return lambda x, y: new[x] | new[y] | (lefts[x] & rights[y])
+    kinds = np.zeros(top, dtype=np.uint8)
+    kinds[left] = 1
+    kinds[right] |= 2
+    kinds[old:] = 4
+    # bits: 1 and 2 for the sides of a pair that was left, 4 for a new symbol
+    kind = kinds[symbols]
+    x, y = kind[:-1], kind[1:]
+    return np.flatnonzero((x | y) & 4 | x & y >> 1 & 1)
 
 
 class Grammar:
@@ -83,11 +100,9 @@ class Grammar:
     def of(cls, ids: np.ndarray, least: int = LEAST) -> Grammar:
         base = int(ids.max(initial=0)) + 1
         symbols, rules, lengths = ids.astype(np.int32), [], np.ones(0, dtype=np.int64)
-        top, places = base, None
-        while len(symbols) > 1:
-            x, y = symbols[:-1], symbols[1:]
-            at = np.arange(len(x)) if places is None else np.flatnonzero(places(x, y))
-            x, y = x[at], y[at]
+        top, at = base, np.arange(len(symbols) - 1)
+        while len(at):
+            x, y = symbols[at], symbols[at + 1]
             slot = _slots(x, y)
             some = np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= least
             # of overlapping pairs of one symbol every other one counts, from the left
@@ -95,27 +110,30 @@ class Grammar:
             start = np.concatenate([[True], np.diff(at[twins]) != 1])[: len(twins)]
             since = np.arange(len(twins)) - np.flatnonzero(start)[np.cumsum(start) - 1]
             some[twins[since % 2 == 1]] = False
-            at, slot, pair = at[some], slot[some], x[some].astype(np.int64) << 32 | y[some]
+            some = np.flatnonzero(some)
+            at, slot, pair = at[some], slot[some], _packed(x[some], y[some], top)
             kinds, counts = _runs(np.sort(pair))
             kinds = kinds[counts >= least][np.argsort(-counts[counts >= least], kind="stable")]
             if not len(kinds):
                 break
-            left, right = (kinds >> 32).astype(np.int32), (kinds & 0xFFFFFFFF).astype(np.int32)
+            left, right = _unpacked(kinds)
             own = _slots(left, right)
             use = np.array(_apart(left.tolist(), right.tolist(), own.tolist()))
-            wanted, number = np.full(1 << SLOT_BITS, -1, dtype=np.int64), np.zeros(1 << SLOT_BITS, dtype=np.int32)
+            # the slot of a pair has its number; other pairs of the slot are told by the pair itself
+            wanted, number = np.zeros(1 << SLOT_BITS, dtype=pair.dtype), np.zeros(1 << SLOT_BITS, dtype=np.int32)
             wanted[own[use]], number[own[use]] = kinds[use], top + np.arange(len(use), dtype=np.int32)
-            hit = wanted[slot] == pair
-            symbols[at[hit]] = number[slot[hit]]
+            hit = np.flatnonzero((wanted[slot] == pair) & (number[slot] > 0))
+            at = at[hit]
+            symbols[at] = number[slot[hit]]
             keep = np.ones(len(symbols), dtype=bool)
-            keep[at[hit] + 1] = False
+            keep[at + 1] = False
             symbols = symbols[keep]
             made = np.stack([left[use], right[use]], axis=1)
             rules.append(made)
             lengths = np.concatenate([lengths, cls._length(made, base, lengths)])
             rest = np.ones(len(kinds), dtype=bool)
             rest[use] = False
-            places = _looked_at(top, top + len(use), left[rest], right[rest])
+            at = _looked_at(symbols, top, top + len(use), left[rest], right[rest])
             top += len(use)
         return cls(base, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int32), lengths, symbols)
 
@@ -128,13 +146,11 @@ class Grammar:
         """Expansions of all symbols one after the other, where each starts, how long it is."""
         sizes = np.concatenate([np.ones(self.base, dtype=np.int64), self.expansions])
         starts = np.cumsum(sizes) - sizes
-        flat = np.empty(int(sizes.sum()), dtype=np.uint32)
-        flat[: self.base] = np.arange(self.base)
-        for r, (a, b) in enumerate(self.rules.tolist()):
-            at, cut = int(starts[self.base + r]), int(sizes[a])
-            flat[at : at + cut] = flat[starts[a] : starts[a] + cut]
-            flat[at + cut : at + sizes[self.base + r]] = flat[starts[b] : starts[b] + sizes[b]]
-        return flat, starts, sizes
+        base, ids, made = self.base, np.arange(self.base, dtype=np.uint32).tobytes(), []
+        for a, b in self.rules.tolist():
+            first = ids[4 * a : 4 * a + 4] if a < base else made[a - base]
+            made.append(first + (ids[4 * b : 4 * b + 4] if b < base else made[b - base]))
+        return np.frombuffer(ids + b"".join(made), dtype=np.uint32), starts, sizes
 
     def decode(self, start: int = 0, n: int | None = None) -> np.ndarray:
         """``n`` ids from ``start`` on; only the symbols that cover them are expanded."""

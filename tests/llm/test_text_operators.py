@@ -272,6 +272,25 @@ def test_no_frequent_pair_is_left():
     assert len(tokenfiles.Grammar.of(repeated.astype(np.uint32)).symbols) < 6000  # 300,000 ids
 
 
+def test_a_round_of_pairs_looks_where_the_definition_says():
+    """Places beside a new symbol or of a pair that was left; pairs as numbers on both sides of 16 bits."""
+    rng = np.random.default_rng(9)
+    symbols, left, right = rng.integers(0, 40, 5000).astype(np.int32), np.array([3, 7, 7], np.int32), np.array([7, 7, 9], np.int32)
+    want = [
+        i for i, (x, y) in enumerate(zip(symbols.tolist(), symbols[1:].tolist()))
+        if x >= 36 or y >= 36 or (x in left.tolist() and y in right.tolist())
+    ]
+    assert tokenfiles._looked_at(symbols, 36, 40, left, right).tolist() == want
+    for top in (1 << 16, (1 << 16) + 1):
+        x, y = rng.integers(0, top, (2, 500)).astype(np.int32)
+        x[0] = y[1] = top - 1
+        back = tokenfiles._unpacked(tokenfiles._packed(x, y, top))
+        assert (back[0] == x).all() and (back[1] == y).all()
+    ids = np.concatenate([rng.integers(0, 60, 40_000), [(1 << 16) - 30]]).astype(np.uint32)  # rules go beyond 16 bits
+    grammar = tokenfiles.Grammar.of(ids)
+    assert grammar.base < 1 << 16 < grammar.base + len(grammar.rules) and (grammar.decode() == ids).all()
+
+
 def expected_files(docs, library):
     rows, at = [], 0
     keyed = [(r.doc_id is not None, r.doc_id or 0, r.text or "") for r in docs]
