@@ -12,6 +12,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from string import punctuation
 
 import pandas as pd
 import public_tokenizers
@@ -29,8 +30,6 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 #: Pieces a worker remembers (it starts anew beyond them), and the longest piece worth it.
 REMEMBERED, LONGEST = 400_000, 64
-#: Marks that may follow a word.
-MARKS = ".,;:!?"
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens bigint"
 
@@ -41,7 +40,8 @@ class Encoder:
     A byte-level vocabulary splits texts by a fixed expression before it merges bytes, and there is
     always a split at a single space or line break between two other characters. So texts are cut
     there, and a piece goes to the library when it is first seen. A piece of letters, with a space before
-    or a mark behind, is one or two units of that split, so it goes to the library's merging directly.
+    or marks of ASCII behind, is one or two units of that split, so its letters go to the library's merging
+    directly and its marks are looked up apart.
     Texts with other white space are encoded whole, and so is everything by vocabularies that
     normalise or split otherwise.
     """
@@ -58,15 +58,19 @@ class Encoder:
             and split.get("use_regex", True) and not split.get("add_prefix_space")
             and not any(x.split() != [x] for x in added) and not any(t["lstrip"] or t["rstrip"] for t in parts["added_tokens"])
         )
-        self.by_word = self.by_piece and parts["model"]["type"] == "BPE" and not any(x.isalpha() or len(x) == 1 for x in added)
-        # a line's first word, and the words that a space stands before
-        self.first, self.after_space = Pieces(self._piece), Pieces(self._piece)
+        self.by_word = (
+            self.by_piece and parts["model"]["type"] == "BPE" and not any(x[0].isalpha() or len(x) == 1 for x in added)
+            and not any(t["single_word"] for t in parts["added_tokens"])
+        )
+        # a line's first word, the words that a space stands before, and marks behind letters
+        self.first, self.after_space, self.marks = Pieces(self._piece), Pieces(self._piece), Pieces(self._mark)
         # the library's stand-ins for bytes: printable ones for themselves, the others from 256 on
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
-        self.stand_ins = {b: 256 + i for i, b in enumerate(others)}
+        # a byte without an entry would cost an exception
+        self.stand_ins = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
         self.space = chr(self.stand_ins[32])
-        self.marks = {m: self._whole([m])[0] for m in MARKS}
+        self.merged = self.library.model.tokenize
         self.line_break = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -76,18 +80,19 @@ class Encoder:
     def _piece(self, word: str, known: Pieces) -> bytes:
         """Ids of a piece: ``word`` as ``known`` has it, after a space or first in its line."""
         lead = " " if known is self.after_space else ""
-        if self.by_word and word:
-            mark = self.marks.get(word[-1])
-            body = word if mark is None else word[:-1]
+        if self.by_word:
+            body = word.rstrip(punctuation)
             # letters of ASCII stand for themselves
             if body.isalpha() and (body.isascii() or max(body) < "\u0250"):
-                if mark is not None:
-                    return known[body] + mark
+                if len(body) < len(word):
+                    return known[body] + self.marks[word[len(body) :]]
                 units = body if body.isascii() else body.encode().decode("latin-1").translate(self.stand_ins)
-                found = self.library.model.tokenize(self.space + units if lead else units)
-                return array("I", [t.id for t in found]).tobytes()
+                return array("I", [t.id for t in self.merged(self.space + units if lead else units)]).tobytes()
         return self._whole([lead + word])[0]
 
+    def _mark(self, marks: str, known: Pieces) -> bytes:
+        return self._whole([marks])[0]
+
     def _by_words(self, text: str) -> bytes | None:
         """The ids of a text whose only white space are single spaces and line breaks; None for others."""
         if (
@@ -99,7 +104,7 @@ class Encoder:
         for line in text.split("\n"):
             first, *rest = line.split(" ")
             lines.append(self.first[first] + b"".join(map(self.after_space.__getitem__, rest)))
-        for known in (self.first, self.after_space):
+        for known in (self.first, self.after_space, self.marks):
             if len(known) > REMEMBERED:
                 known.clear()
         return self.line_break.join(lines)
@@ -108,6 +113,7 @@ class Encoder:
         """Give back what the pieces take; a worker lives on after its task."""
         self.first.clear()
         self.after_space.clear()
+        self.marks.clear()
 
     def each(self, texts: Iterable[str], size: int = 2_000_000) -> Iterator[bytes]:
         """The ids of every text as native unsigned 32-bit numbers; about ``size`` characters are held."""

@@ -1,6 +1,7 @@
 """PII, licenses, token counts and token files against plain Python."""
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter
@@ -331,3 +332,25 @@ def test_encoding_by_pieces_equals_the_library():
     texts += ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(4000)]
     texts += [str(rng.choice([" ", "\n"])).join(rng.choice(words, rng.integers(1, 12))) for _ in range(4000)]
     assert list(encode.each(texts, size=5000)) == encode._whole(texts)
+
+
+def test_marks_behind_letters_are_encoded_once():
+    """Words of letters take the short way whatever marks of ASCII follow them, and that is what the library gives."""
+    encode, rng = tokens.Encoder(tokens.definition_at(VOCABULARY)), np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdeéüß"), rng.integers(1, 9))) for _ in range(600)]
+    texts = [" ".join(w + m for w in words) for m in ("$$$", "!!", "...", ".)", "'", "__", "-")]
+    texts += [" ".join(w + str(rng.choice(["'s", "._a", "<|endoftext|>", ".1", "’", "'t!", ""])) + "." for w in words)]
+    whole, calls = encode._whole(texts), []
+    one_by_one = encode._whole
+    encode._whole = lambda found: calls.extend(found) or one_by_one(found)
+    assert list(encode.each(texts)) == whole
+    assert len(calls) < 1000  # of 4,800 words; the 600 of the last text have no short way
+
+
+def test_added_tokens_that_begin_in_a_word():
+    parts = json.loads(tokens.definition_at(VOCABULARY))
+    texts = ["cab! ab! word## ##", "ab!\nword##!", "a ## b## ab!!"]
+    for content, alone in (("ab!", False), ("##", True), ("##", False)):
+        token = {**parts["added_tokens"][0], "id": 50_300, "content": content, "single_word": alone, "special": False}
+        encode = tokens.Encoder(json.dumps({**parts, "added_tokens": [*parts["added_tokens"], token]}))
+        assert list(encode.each(texts)) == encode._whole(texts)
