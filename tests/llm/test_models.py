@@ -243,6 +243,61 @@ def test_shared_model_backs_off_through_shorter_histories(spark, prose):
         assert abs(sum(share(h, c, len(h)) for c in symbols) - 1) < 1e-9
 
 
+def plain_likelihoods(rows, longest):
+    """(words -> gain) from the definition: the difference of a word's log-likelihoods, whatever was counted of it."""
+    counts = {k: Counter() for k in "otp"}
+    for text, toxic in rows:
+        for word in set(toxicity.words(text)):
+            for kind in ("t" if toxic else "o", "p"):
+                counts[kind].update(toxicity.beginnings(word))
+    levels, longer = [], {(toxicity.START + g[:-1], g[-1]) for g in counts["p"]}
+    for k in range(longest, -1, -1):
+        levels.insert(0, Counter((h[len(h) - k :], c) for h, c in longer if len(h) > k))
+        longer = {(h[-k:] if k else "", c) for h, c in longer}
+
+    def cut(table, several):
+        d = [0.0, *toxicity.discounts(*[float(sum(1 for g in several if table[g] == i)) for i in (1, 2, 3, 4)])]
+        return lambda n: d[min(n, 3)]
+
+    def level(own, cut, key, low):
+        total = sum(own.values())
+        return (own[key] - cut(own[key]) + sum(map(cut, own.values())) * low) / total if total else low
+
+    def share(h, c):
+        table = levels[len(h)]
+        own = Counter({x: n for (g, x), n in table.items() if g == h})
+        return level(own, cut(table, table), c, share(h[1:], c) if h else 1 / len(levels[0]))
+
+    def likely(kind, g):
+        h = g[:-1]
+        low = share(h[-longest:], g[-1]) if kind == "p" else likely("p", g)
+        return level(Counter({x: counts[kind][x] for x in counts["p"] if x[:-1] == h}), cut(counts[kind], counts["p"]), g, low)
+
+    return lambda word: sum(math.log(likely("t", g)) - math.log(likely("o", g)) for g in toxicity.beginnings(word))
+
+
+def test_all_of_a_word_is_measured_whichever_class_has_it(spark):
+    """Words that only ordinary texts have, that one toxic text has, and that neither has, against the definition."""
+    training = [("the plain cat sat", 0), ("a plain cap is that", 0), ("the plane sat", 0), ("plain tea", 0), ("the zorg sat", 1), ("zork zorgs", 1), ("a zork", 1)]
+    texts = ["the cat", "zorg", "zorks zorgling zor", "plankton plains qux", "", "Ω zürich", "teapot " * 5 + "zork the the", "plain", "capital city sits there then " * 30]
+    longest, word_gain = 2, plain_likelihoods(training, 2)
+    counted = pd.concat(toxicity._counts(iter([pd.DataFrame(training, columns=["_text", "toxic"])])))
+    counts = common.stored(spark.createDataFrame(counted, "gram string, ordinary bigint, toxic bigint"), "test-counts")
+    table = common.stored(toxicity.gains(counts, longest).join(toxicity.beyond(counts), "gram", "full"), "test-gains")
+    gains = {r.gram for r in table.filter("gain is not null").collect()}
+    assert gains == {b for t, _ in training for w in toxicity.words(t) for b in toxicity.beginnings(w)}
+    assert word_gain("cat") < 0 and word_gain("zorgs") > 0
+    whole = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "_id string, _text string")
+    for part_size in (10**9, 20, 2):  # all counted words are broadcast, some are, next to none
+        found = {r.doc_id: r for r in toxicity.measures(whole, table, part_size).collect()}
+        assert len(found) == len(texts)
+        for i, text in enumerate(texts):
+            each = [word_gain(w) for w in toxicity.words(text)]
+            k = min(len(each), max(toxicity.FEWEST, len(each) // toxicity.SHARE))
+            assert abs(found[i].whole - (sum(each) / len(each) if each else 0)) < 1e-9, text
+            assert abs(found[i].worst - (sum(sorted(each)[-k:]) / k if each else 0)) < 1e-9, text
+
+
 def test_parts_have_what_their_words_need(spark):
     table = {toxicity.beginnings(w)[k]: float(k) for w in ("abcdefgh", "abcdefxy", "abcxyz", "zzzzzzzzz", "ab") for k in range(len(w) + 1)}
     df = spark.createDataFrame(list(table.items()), "gram string, gain double")
